@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from weftline.functions.text import strip_all
 from weftline.llm.components import groups_of_pairs
+from weftline.llm.linkage import match_contracts
+from weftline.operators.snapshots import latest_copy
 from weftline.session import table
 
 
@@ -17,7 +19,25 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return groups_of_pairs(same, "security_id_a", "security_id_b").select(F.col("node").alias("security_id"), "group_id")
 
 
-QUERIES = {"p1_found": p1_found}
+def _contracts(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per contract of a venue: its latest delivery."""
+    rows = table(spark, folder, "adapter_contract").filter("exchange_id is not null and exchange_security_id is not null")
+    latest = latest_copy(rows, ["exchange_id", "exchange_security_id"], ["event_title", "outcome_label", "event_description", "event_expiry"], ["received_at", "ingest_pos"])
+    return latest.select("exchange_id", F.col("exchange_security_id").alias("sid"), F.col("event_title").alias("title"), F.col("outcome_label").alias("label"), F.col("event_description").alias("description"), F.col("event_expiry").alias("expiry"))
+
+
+def p5_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Contracts of different venues that mean the same outcome, with a confidence."""
+    return match_contracts(_contracts(spark, folder))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The matched contracts' ids, each pair once with the lower id first."""
+    pairs = p5_pairs(spark, folder).filter((F.col("confidence") >= 0.5) & (F.col("sid_a") != F.col("sid_b")))
+    return pairs.select(F.least("sid_a", "sid_b").alias("exchange_security_id_a"), F.greatest("sid_a", "sid_b").alias("exchange_security_id_b")).distinct()
+
+
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p5_pairs": p5_pairs}
 
 ORACLES = {
     "p1_found": r"""
