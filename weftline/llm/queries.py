@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions.text import strip_all
+from weftline.llm.ann import most_similar
 from weftline.llm.components import groups_of_pairs
 from weftline.llm.linkage import match_contracts
 from weftline.operators.snapshots import latest_copy
@@ -19,6 +20,19 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return groups_of_pairs(same, "security_id_a", "security_id_b").select(F.col("node").alias("security_id"), "group_id")
 
 
+def p3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten most similar other events of every event."""
+    rows = table(spark, folder, "event_embedding").filter("event_id is not null")
+    latest = latest_copy(rows, ["event_id"], ["embedding"], ["embedded_at"])
+    return most_similar(latest, "event_id", "embedding").select(F.col("q").alias("event_id"), F.col("c").alias("neighbour_id"), "sim")
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of events with cosine 0.80 or more of which one is among the ten most similar of the other."""
+    near = p3_neighbours(spark, folder).filter("sim >= 0.8")
+    return near.select(F.least("event_id", "neighbour_id").alias("event_id_a"), F.greatest("event_id", "neighbour_id").alias("event_id_b")).distinct()
+
+
 def _contracts(spark: SparkSession, folder: str) -> DataFrame:
     """One row per contract of a venue: its latest delivery."""
     rows = table(spark, folder, "adapter_contract").filter("exchange_id is not null and exchange_security_id is not null")
@@ -37,7 +51,7 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.select(F.least("sid_a", "sid_b").alias("exchange_security_id_a"), F.greatest("sid_a", "sid_b").alias("exchange_security_id_b")).distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p5_pairs": p5_pairs}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p5_found": p5_found, "p5_pairs": p5_pairs}
 
 ORACLES = {
     "p1_found": r"""
