@@ -9,6 +9,7 @@ from weftline.functions.text import strip_all
 from weftline.llm.ann import most_similar
 from weftline.llm.components import groups_of_pairs
 from weftline.llm.linkage import match_contracts
+from weftline.llm.sentences import sentence_units
 from weftline.operators.snapshots import latest_copy
 from weftline.session import table
 
@@ -51,7 +52,14 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.select(F.least("sid_a", "sid_b").alias("exchange_security_id_a"), F.greatest("sid_a", "sid_b").alias("exchange_security_id_b")).distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p5_found": p5_found, "p5_pairs": p5_pairs}
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Sentence units of all documents by code point offsets."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    units = sentence_units(docs, ["doc_id"], "text", F.lower(F.trim("source")).isin("scan", "bulletin"))
+    return units.select("doc_id", "sent_start", "sent_end")
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p5_found": p5_found, "p5_pairs": p5_pairs, "p10_found": p10_found}
 
 ORACLES = {
     "p1_found": r"""
