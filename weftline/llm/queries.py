@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weftline.functions.text import strip_all
 from weftline.llm.ann import most_similar
 from weftline.llm.components import groups_of_pairs
+from weftline.llm.leakage import leaked_items
 from weftline.llm.linkage import match_contracts
 from weftline.llm.sentences import sentence_units
 from weftline.operators.snapshots import latest_copy
@@ -52,6 +53,17 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.select(F.least("sid_a", "sid_b").alias("exchange_security_id_a"), F.greatest("sid_a", "sid_b").alias("exchange_security_id_b")).distinct()
 
 
+def p9_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with the evaluation items they hold, and how much of each."""
+    docs, items = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "eval_item").select("item_id", "text")
+    return leaked_items(docs, "doc_id", "text", items, "item_id", "text")
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with the evaluation items that they hold at least half of."""
+    return p9_scores(spark, folder).select("doc_id", "item_id").distinct()
+
+
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     """Sentence units of all documents by code point offsets."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
@@ -59,7 +71,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return units.select("doc_id", "sent_start", "sent_end")
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p5_found": p5_found, "p5_pairs": p5_pairs, "p10_found": p10_found}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p5_found": p5_found, "p5_pairs": p5_pairs, "p9_found": p9_found, "p9_scores": p9_scores, "p10_found": p10_found}
 
 ORACLES = {
     "p1_found": r"""
