@@ -10,6 +10,7 @@ from weftline.llm.ann import most_similar
 from weftline.llm.components import groups_of_pairs
 from weftline.llm.leakage import leaked_items
 from weftline.llm.linkage import match_contracts
+from weftline.llm.packing import pack_texts
 from weftline.llm.sentences import sentence_units
 from weftline.operators.snapshots import latest_copy
 from weftline.session import table
@@ -53,6 +54,20 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.select(F.least("sid_a", "sid_b").alias("exchange_security_id_a"), F.greatest("sid_a", "sid_b").alias("exchange_security_id_b")).distinct()
 
 
+def p8_pack(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in containers of every kind."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    packed = pack_texts(docs, "doc_id", "text", table(spark, folder, "container_size"), "container_kind", "capacity_tokens")
+    return packed.withColumnRenamed("item", "doc_id")
+
+
+def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """Containers used and room left, by kind."""
+    sizes = table(spark, folder, "container_size")
+    used = p8_pack(spark, folder).filter("container_no > 0").groupBy("container_kind").agg(F.max("container_no").alias("containers"), F.sum("tokens").alias("tokens"))
+    return used.join(sizes, "container_kind").select("container_kind", "containers", "tokens", (F.col("containers") * F.col("capacity_tokens") - F.col("tokens")).alias("slack"))
+
+
 def p9_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with the evaluation items they hold, and how much of each."""
     docs, items = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "eval_item").select("item_id", "text")
@@ -71,7 +86,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return units.select("doc_id", "sent_start", "sent_end")
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p5_found": p5_found, "p5_pairs": p5_pairs, "p9_found": p9_found, "p9_scores": p9_scores, "p10_found": p10_found}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p5_found": p5_found, "p5_pairs": p5_pairs, "p8_pack": p8_pack, "p8_fill": p8_fill, "p9_found": p9_found, "p9_scores": p9_scores, "p10_found": p10_found}
 
 ORACLES = {
     "p1_found": r"""
