@@ -51,26 +51,38 @@ STOP = "\\.(?:" + "|".join(
         r"(?<=(?:^|[\s(«\"])\p{IsArabic}\.)",
     ]
 ) + ")"
-_B = r"()\[\]“”«»「」『』（）"
-_SKIP = r"(?:(?:\([^()\n]*+\)|\[[^\[\]\n]*+\]|“[^“”\n]*+”|«[^«»\n]*+»|「[^「」\n]*+」|『[^『』\n]*+』|（[^（）\n]*+）)[^" + _B + r"\n]*+)*+"
-#: A terminator inside a quotation or bracket, unless it is the last thing in it.
-INSIDE = r"[.!?؟。！？](?!\s?[”»」』)\]）])(?=[^" + _B + r"\n]*+" + _SKIP + r"[”»」』)\]）])"
-#: The same for „…“, whose closing mark opens elsewhere.
-INSIDE_LOW = r"[.!?](?!\s?“)(?=[^„“\n]*+“)"
+_OPEN = r"(\[«\u201c\u201e\u300c\u300e\uff08"
+_GROUPS = [r"\([^()\n]*+\)", r"\[[^\[\]\n]*+\]", r"«[^«»\n]*+»", "「[^「」\\n]*+」", "『[^『』\\n]*+』", "（[^（）\\n]*+）"]
+#: A text in pieces: quotations and brackets as wholes, what stands between them, and openers that nothing closes.
+PIECES = "(" + "|".join([rf"[^{_OPEN}]++", r"“[^“”\n]*+”", *_GROUPS, r"[\s\S]"]) + ")"
+#: The same for texts with „…“, whose closing mark opens elsewhere.
+PIECES_LOW = "(" + "|".join([rf"[^{_OPEN}]++", r"„[^„“\n]*+“", *_GROUPS, r"[\s\S]"]) + ")"
+
+
+def _masked_groups(text: Column, pieces: str) -> Column:
+    """Masks the terminators inside quotations and brackets, all but one right before the closing mark."""
+    inner = lambda p: F.regexp_replace(p, r"[.!?؟。！？](?!\s?.$)", _MASK)
+    group = lambda p: F.when(p.rlike(rf"^[{_OPEN}].") & p.rlike(r"[.!?؟。！？]"), inner(p)).otherwise(p)
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(pieces), F.lit(1)), group), "")
+
+
 _START = r"[\p{Lu}\p{Lt}\d“„«¿¡\"(\[¶█§•–—\p{IsArabic}\p{IsCyrillic}\p{IsDevanagari}]"
 _GO = r"(?=\s+" + _START + r"|\s*(?:\n|$)|(?<=[\p{Ll}\d)\]”»“][.!?؟]{1,3}[”»“)\]]{0,2})(?:[“„«¿¡]|\p{Lu}[\p{Ll}\s’']))"
 
 
 def _cut_pattern(closers: str) -> str:
-    return "|".join(
+    return r"(?=[\n.!?|\u061f\u0964\u0965\u2026\u3002\uff01\uff1f])(?:" + "|".join(
         [
             r"\n",
             rf"[.!?؟…]++(?:\s?»|[{closers}])*+{_GO}",
             r"[।॥]|(?<=[ऀ-ॿ])\|",
             r"[。！？]++(?![”」』）。！？])|[。！？]++[”」』）]++(?![，、；：とはがをの。])",
-            r"(?<=[฀-๿]) +(?=[฀-๿])",
         ]
-    )
+    ) + ")"
+
+
+#: Thai: a space between two Thai letters.
+THAI = r"(?<=[\u0e00-\u0e7f]) +(?=[\u0e00-\u0e7f])"
 
 
 def sentence_units(df: DataFrame, keys: list[str], text: str, wrapped: Column) -> DataFrame:
@@ -80,16 +92,18 @@ def sentence_units(df: DataFrame, keys: list[str], text: str, wrapped: Column) -
     still ends a unit). Null and blank texts give no rows; a text without terminators is one unit per
     line or paragraph; repeated rows each give their units; very long texts are cut whole.
     """
-    t = F.translate(F.col(text), _MASK + _CUT + "\r", "?? ")
+    raw = F.col(text)
+    reserved = raw.contains(_MASK) | raw.contains(_CUT) | raw.contains("\r")
+    t = F.when(reserved, F.translate(raw, _MASK + _CUT + "\r", "?? ")).otherwise(raw)
     joined = F.when(F.coalesce(wrapped, F.lit(False)), F.regexp_replace(t, r"(?<!\n)\n(?![^\S\n]*\n)", " ")).otherwise(t)
     low = F.col("_t").contains("„")
     stage = df.select(*keys, joined.alias("_t")).filter(F.col(text).isNotNull())
     stage = stage.withColumn("_m", F.regexp_replace("_t", STOP, _MASK))
-    inside = F.regexp_replace("_m", INSIDE, _MASK)
-    inside_low = F.regexp_replace(F.regexp_replace("_m", INSIDE_LOW, _MASK), INSIDE.replace("“”", "").replace(r"|“[^\n]*+”", ""), _MASK)
-    stage = stage.withColumn("_m", F.when(low, inside_low).otherwise(inside))
-    marked = F.when(low, F.regexp_replace("_m", _cut_pattern(r"”“’\")\]"), "$0" + _CUT)).otherwise(F.regexp_replace("_m", _cut_pattern(r"”’\")\]"), "$0" + _CUT))
-    pieces = once(stage.select(*keys, "_t", "_m"), _p=F.split(marked, _CUT))
+    stage = stage.withColumn("_m", F.when(low, _masked_groups(F.col("_m"), PIECES_LOW)).otherwise(_masked_groups(F.col("_m"), PIECES)))
+    cut = F.when(low, F.regexp_replace("_m", _cut_pattern(r"”“’\")\]"), "$0" + _CUT)).otherwise(F.regexp_replace("_m", _cut_pattern(r"”’\")\]"), "$0" + _CUT))
+    stage = stage.withColumn("_m", cut)
+    marked = F.when(F.col("_m").rlike(r"[\u0e00-\u0e7f] "), F.regexp_replace("_m", THAI, "$0" + _CUT)).otherwise(F.col("_m"))
+    pieces = once(stage.select(*keys, "_m"), _p=F.split(marked, _CUT))
     lengths = F.transform(
         F.col("_p"),
         lambda p: F.struct(F.length(p).alias("n"), (F.length(p) - F.length(F.ltrim(p, F.lit(_SPACE)))).alias("lead"), F.length(F.trim(p, F.lit(_SPACE))).alias("core")),
