@@ -1,11 +1,12 @@
 """Evaluation passages in training text: a prefix-filtered set join on shingles, verified on the words themselves.
 
-Shingles are five words (five characters in scripts without spaces). A document that holds at least ``SHARE`` of
-an item in one stretch shares at least ``NEED`` of its shingles even after small edits, so it must share one of all but the
-``NEED`` most frequent: the item's prefix in order of rarity over the corpus. Pairs that meet in a prefix shingle
-go through the length bound (the document can hold the stretch) and the positional bound (the
-shingles they share lie, in the item's order, within windows of the item's size and cover enough of it);
-what is left is verified by local alignment of the words in these windows.
+Shingles are five words (five characters in scripts without spaces). A document that holds half of an item in
+one stretch, with a word changed in every eight, still shares a fifth of its shingles (``NEED``). An item's
+prefix, in order of rarity over the corpus, leaves out its most frequent shingles, half as many as must be shared; so
+the other half must be met in the prefix. Pairs that meet often enough go
+through the length bound (the document can hold the stretch) and the positional bound (the shingles
+they share lie, in the item's order, within windows of the item's size and cover enough of it); what is left
+is verified by local alignment of the words in these windows.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from weftline.session import cut, small
 
 SHINGLE = 5
 #: Least alignment score, share of the item's shingles that must be shared, and share of its words that shared shingles must cover.
-SHARE, NEED, COVER = 0.47, 0.08, 0.18
+SHARE, NEED, COVER = 0.47, 0.2, 0.3
 #: Alignment: a match counts 1; costs of another word, of a word too many (page headers, numbers) and of a word missing.
 OTHER, EXTRA, MISSING = 1.0, 0.3, 0.6
 #: Items per pass over the corpus; their vocabulary is what goes to the executors.
@@ -157,14 +158,16 @@ def _leaked(docs: DataFrame, doc_id: str, text: str, items: dict[int, str], spar
     many = F.count(F.lit(1)).over(Window.partitionBy("item"))
     ranked = kinds.withColumn("rank", F.row_number().over(Window.partitionBy("item").orderBy("df", "code"))).withColumn("all", many)
     need = F.greatest(F.lit(1), F.ceil(NEED * F.col("all")))
-    prefix = ranked.filter((F.col("rank") <= F.col("all") - need + 1) & (F.col("df") > 0)).select("item", "code", "n")
+    left_out = F.floor(need / 2)
+    prefix = ranked.filter((F.col("rank") <= F.col("all") - left_out) & (F.col("df") > 0)).select("item", "code", "n", (need - left_out).alias("least"))
     # the join on prefix shingles; one row per document and item that meet
     met = (
         hits.select("doc", "row", F.explode(F.array_distinct("codes")).alias("code"), (F.octet_length("words") / np.dtype(kind).itemsize).alias("size"))
         .join(small(prefix), "code")
         .filter(F.col("size") >= SHARE * F.col("n"))
         .groupBy("doc", "row", "item")
-        .agg(F.count(F.lit(1)).alias("shared"))
+        .agg(F.count(F.lit(1)).alias("shared"), F.first("least").alias("least"))
+        .filter(F.col("shared") >= F.col("least"))
         .groupBy("doc", "row")
         .agg(F.collect_set("item").alias("items"))
     )
