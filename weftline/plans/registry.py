@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weftline.plans import training
+from weftline.plans import resolution, training
 
-QUERIES = {**training.QUERIES}
-ORACLES = {**training.ORACLES}
+QUERIES = {**training.QUERIES, **resolution.QUERIES}
+ORACLES = {**training.ORACLES, **resolution.ORACLES}
