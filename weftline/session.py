@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: A side is broadcast only when Spark's own estimate of it is below this.
@@ -25,9 +25,12 @@ def local_session(cpus: str | int = "*", partitions: int = 8) -> SparkSession:
     )
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, **counts: Column) -> tuple[DataFrame, dict[str, int]] | DataFrame:
     """Cuts lineage with a reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
 
+    With ``counts`` (conditions by name) also how many rows fulfil each, observed as the
+    checkpoint is written, so that no job of its own counts them.
+
     Only where neither that setting nor the context names a folder (a local test
     session) is a folder made here.
     """
@@ -38,7 +41,11 @@ def cut(df: DataFrame) -> DataFrame:
         if folder is None and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="weftline-"))
-    return df.checkpoint(eager=True)
+    if not counts:
+        return df.checkpoint(eager=True)
+    seen = Observation()
+    done = df.observe(seen, *[F.count_if(c).alias(n) for n, c in counts.items()]).checkpoint(eager=True)
+    return done, seen.get
 
 
 def once(df: DataFrame, **columns: Column) -> DataFrame:
