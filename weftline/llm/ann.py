@@ -223,12 +223,12 @@ def _pivots(sample: np.ndarray, count: int) -> np.ndarray:
 def most_similar(vectors: DataFrame, key: str, vec: str, k: int = 10, size: int = 64) -> DataFrame:
     """Rows ``(q, c, sim)``: for every vector the (at most) ``k`` most similar others, cosine in double precision.
 
-    Keys are unique whole numbers. Unusable vectors (see ``usable``) take no part. Vectors that are exactly alike are
+    Keys are unique whole numbers. Rows without key and unusable vectors (see ``usable``) take no part; other columns are never read. Vectors that are exactly alike are
     indexed once; each of them has the others as neighbours at similarity 1, lowest keys first,
     as all ties go by key. An empty table gives no rows.
     """
     spark = vectors.sparkSession
-    rows = usable(vectors.select(key, vec), vec, size).select(F.col(key).alias("id"), F.col(vec).cast("array<float>").alias("v"))
+    rows = usable(vectors.select(key, vec).filter(F.col(key).isNotNull()), vec, size).select(F.col(key).alias("id"), F.col(vec).cast("array<float>").alias("v"))
     rows = rows.withColumn("copy", F.xxhash64("v"))
     # copies: of each distinct vector the k + 1 lowest keys stand for all (the rank limit works before the shuffle)
     ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("copy", "v").orderBy("id"))).filter(F.col("rank") <= k + 1)

@@ -95,7 +95,7 @@ def _windows(pos: np.ndarray, off: np.ndarray, n: int) -> list[tuple[int, int, i
 def leaked_items(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str) -> DataFrame:
     """Rows ``(doc_id, item_id, score)``: every document with every item of which it holds enough in one stretch.
 
-    Null and empty texts take no part; an item shorter than a shingle is compared by nothing and never found;
+    Documents without id and null and empty texts take no part; an item shorter than a shingle is compared by nothing and never found;
     repeated documents each report their items; items of the same text each do too. Texts are read whole.
     """
     spark = docs.sparkSession
@@ -149,7 +149,7 @@ def _leaked(docs: DataFrame, doc_id: str, text: str, items: dict[int, str], spar
                 }
             )
 
-    corpus = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).filter("text is not null").withColumn("row", F.monotonically_increasing_id())
+    corpus = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).filter("doc is not null and text is not null").withColumn("row", F.monotonically_increasing_id())
     hits = cut(corpus.mapInPandas(scan, "doc bigint, row bigint, codes array<bigint>, pos array<int>, words binary"))
     # rarity over all documents, then the prefix of each item: all but its most frequent shingles
     df = hits.select(F.explode(F.array_distinct("codes")).alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("df"))

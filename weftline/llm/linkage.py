@@ -219,12 +219,13 @@ def _same_words(a: pd.Series, b: pd.Series, core_a: pd.Series, core_b: pd.Series
 def match_contracts(contracts: DataFrame) -> DataFrame:
     """Pairs ``(exchange_id_a, sid_a, exchange_id_b, sid_b, confidence)`` of different venues, each pair once.
 
-    ``contracts`` has exchange_id, sid, title, label, description, expiry, one row per contract. Rows
-    without title words have nothing to be matched by and give no pairs; null labels form a class of
-    their own; ties and repeated texts under several ids all match each other.
+    ``contracts`` has exchange_id, sid, title, label, description, expiry, one row per contract; other columns are
+    never read. Rows without exchange, id or title words have nothing to be matched by and give no pairs; null
+    labels form a class of their own, and so do contracts that name no day; ties and repeated texts under several ids
+    all match each other; texts are read whole; an empty table gives no pairs.
     """
-    encoded = contracts.select("exchange_id", "sid", "title", "label", "description", "expiry").mapInPandas(lambda it: map(encode, it), ENCODED)
-    encoded = encoded.filter((F.size("words") > 0) & (F.col("day") != ""))
+    rows = contracts.select("exchange_id", "sid", "title", "label", "description", "expiry").filter("exchange_id is not null and sid is not null")
+    encoded = rows.mapInPandas(lambda it: map(encode, it), ENCODED).filter(F.size("words") > 0)
     chunked = encoded.select("*", F.posexplode("bits").alias("chunk", "value"))
     left = chunked.select(*[F.col(c).alias(f"{c}_a") if c not in ("day", "must", "chunk", "value") else F.col(c) for c in chunked.columns])
     right = chunked.select(*[F.col(c).alias(f"{c}_b") if c not in ("day", "must", "chunk", "value") else F.col(c) for c in chunked.columns])

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -40,12 +41,13 @@ def _encoding(path: str):  # noqa: ANN202
 def count_tokens(df: DataFrame, key: str, text: str, tokenizer: str = TOKENIZER) -> DataFrame:
     """Rows ``(item, tokens)``: whole texts counted with a public tokenizer; null and empty texts have 0."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoding(tokenizer).encode_ordinary
-        for pdf in batches:
-            yield pd.DataFrame({"item": pdf["item"], "tokens": [len(encode(t)) if t else 0 for t in pdf["text"]]})
+        for batch in batches:
+            tokens = pa.array([len(encode(t)) if t else 0 for t in batch.column("text").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("item"), tokens], names=["item", "tokens"])
 
-    return df.select(F.col(key).alias("item"), F.col(text).alias("text")).mapInPandas(count, "item bigint, tokens bigint")
+    return df.select(F.col(key).cast("long").alias("item"), F.col(text).alias("text")).mapInArrow(count, "item bigint, tokens bigint")
 
 
 def fullest(capacity: int, lengths: list[int], counts: list[int]) -> list[tuple[int, int]]:
