@@ -19,7 +19,8 @@ from weftline.session import once
 #: name -> regex class or sequence that separates pieces; in order of preference at equal scores.
 DELIMITERS = {"tab": r"\t", "line": r"\n", "bar": r"\|", "semicolon": ";", "comma": ",", "slash": r" / ", "mixed": r"; |, | \| "}
 
-_QUOTED = r'"(?:[^"\\]|\\.|"")*"'
+# quantifiers are possessive throughout: they loop where others recurse, so very long texts do no harm
+_QUOTED = r'"(?:[^"\\]++|\\.|"")*+"'
 
 
 def _pieces(c: Column, name: str) -> Column:
@@ -27,8 +28,8 @@ def _pieces(c: Column, name: str) -> Column:
     if name == "slash":
         return F.split(c, d)
     if name == "mixed":
-        return F.regexp_extract_all(c, F.lit(rf'((?:{_QUOTED}|(?!{d}|\| )[^"])+)'), F.lit(1))
-    return F.regexp_extract_all(c, F.lit(rf'((?:{_QUOTED}|[^"{d}]|"(?=[^"]*$))+)'), F.lit(1))
+        return F.regexp_extract_all(c, F.lit(rf'((?:{_QUOTED}|(?!{d}|\| )[^"])++)'), F.lit(1))
+    return F.regexp_extract_all(c, F.lit(rf'((?:[^"{d}]++|{_QUOTED}|"(?=[^"]*+$))++)'), F.lit(1))
 
 
 def _clean(p: Column) -> Column:
@@ -37,7 +38,7 @@ def _clean(p: Column) -> Column:
     inner = F.substring(t, F.lit(2), F.length(t) - 2)
     double = F.regexp_replace(F.regexp_replace(inner, '""', '"'), r"\\(.)", "$1")
     single = F.regexp_replace(inner, r"\\(.)", "$1")
-    t = F.when(t.rlike(rf"(?s)^{_QUOTED}$"), double).when(t.rlike(r"(?s)^'(?:[^'\\]|\\.)*'$"), single).otherwise(t)
+    t = F.when(t.rlike(rf"(?s)^{_QUOTED}$"), double).when(t.rlike(r"(?s)^'(?:[^'\\]++|\\.)*+'$"), single).otherwise(t)
     return F.regexp_replace(t, r"(?U)^\s+|\s+$", "")
 
 
@@ -49,9 +50,9 @@ def _self_delimited(c: Column) -> Column:
     """Values of a text that shows its own structure, else null."""
     t = F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
     body = F.substring(t, F.lit(2), F.length(t) - 2)
-    listed = F.regexp_extract_all(body, F.lit(r"""((?:'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^,'"]|['"])+?)(?:,|$)"""), F.lit(1))
+    listed = F.regexp_extract_all(body, F.lit(r"""((?:[^,'"]++|'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+"|['"])++)"""), F.lit(1))
     braced = F.filter(
-        F.regexp_extract_all(body, F.lit(r'((?:"(?:[^"\\]|\\.)*"|[^,"])+)'), F.lit(1)), lambda x: F.upper(F.trim(x)) != "NULL"
+        F.regexp_extract_all(body, F.lit(r'((?:[^,"]++|"(?:[^"\\]++|\\.)*+")++)'), F.lit(1)), lambda x: F.upper(F.trim(x)) != "NULL"
     )
     json = F.from_json(t, "array<string>")
     return (
@@ -78,7 +79,8 @@ def split_packed(df: DataFrame, keys: Sequence[str], source: str, fields: Sequen
 
     The fields of one row should hold equally many values; that is the consistency that is
     scored. Null and empty texts give no rows, empty pieces are no values and take no position,
-    a text without any fitting delimiter is one value. Repeated rows each stand for themselves.
+    a text without any fitting delimiter is one value. ``keys`` name a row; repeated rows with
+    unlike keys each stand for themselves. Other columns are never read; an empty table gives no rows.
     """
     src, ids = F.col(source), [F.col(k) for k in keys]
     own = {f: _self_delimited(F.col(f)) for f in fields}
@@ -166,6 +168,9 @@ def _candidates(c: Column) -> Column:
         F.array(*found),
         lambda x: (F.size(x["values"]) > 1) | (x["by"] == "none") | trailing & x["by"].isin("bar", "semicolon", "comma") & (F.size(x["values"]) == 1),
     )
+    # a piece that still holds a tab or line break is none
+    whole = F.filter(split, lambda x: (x["by"] != "none") & ~F.exists(x["values"], lambda v: v.rlike(r"[\t\n]")))
+    split = F.when(c.rlike(r"[\t\n]") & (F.size(whole) > 0), whole).otherwise(split)
     # most regular of all: every piece is a number; then no other reading counts
     regular = F.filter(split, lambda x: _all_numbers(x["values"]))
     return F.when(F.size(regular) > 0, F.slice(regular, 1, 1)).otherwise(split)

@@ -195,7 +195,7 @@ def choose(df: DataFrame, source: Sequence[str], order: Sequence[str], cands: st
     ``order[0]`` is a whole number that grows in record order; blocks are cut by it, so no task holds
     more than ``BLOCK`` records and their parts. Only blocks with an open row are walked through.
     """
-    rows = once(df.filter(F.size(cands) > 0), **{cands: prune(F.col(cands))}).withColumn("_b", F.floor(F.col(order[0]) / BLOCK))
+    rows = once(df.filter(F.size(cands) > 0), **{cands: prune(F.col(cands))}).withColumn("_b", F.coalesce(F.floor(F.col(order[0]) / BLOCK), F.lit(-1)))
     keys = [*source, "_b"]
     at = F.struct(*order)
     blocks = rows.groupBy(*keys).agg(F.max(F.size(cands)).alias("_open"), F.min_by(cands, at).alias("_first"), F.max_by(cands, at).alias("_last"))
@@ -270,10 +270,12 @@ def choose(df: DataFrame, source: Sequence[str], order: Sequence[str], cands: st
 
 
 def normalise_instants(df: DataFrame, text: str, source: Sequence[str], order: Sequence[str], date_order: str, home_zone: str) -> DataFrame:
-    """``df`` without ``text``, ``date_order`` and ``home_zone``, with ``epoch_us``; texts that state no real date give no row.
+    """Rows ``(*source, *order, epoch_us)``; texts that state no real date give no row.
 
-    Null, empty and overlong texts give none; ties in ``order`` are broken by its further columns;
-    a null in ``source`` is a source of its own; an empty table gives an empty one.
+    Null and empty texts and texts beyond 200 characters state none; ties in ``order`` are broken by its further columns;
+    a null in ``source`` is a source of its own, a null in ``order[0]`` a record before all others; an empty table gives
+    an empty one; other columns are never read, repeated rows each give theirs.
     """
+    df = df.select(*source, *order, text, date_order, home_zone)
     cands = with_interpretations(df, text, date_order, home_zone, "_cands").drop(text, date_order, home_zone)
     return choose(cands, source, order, "_cands")
