@@ -18,6 +18,7 @@ def test_notations(spark):
         ("Maybe, early\tOther", "11, 22", ["Maybe, early", "Other"]),
         ("No/void / Yes; late", "{11,22}", ["No/void", "Yes; late"]),
         ('"The ""M"" list",A & B', "11\n22", ['The "M" list', "A & B"]),
+        ('["Yes; late", "No/void"]', "1|2", ["Yes; late", "No/void"]),
         ("A, B; C | D", "1|2|3|4", ["A", "B", "C", "D"]),
         ("Win", '["11"]', ["Win"]),
         ('["Yes", null, "", "No"]', "[11, 22]", ["Yes", "No"]),
