@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.session import once
+from weftline.session import cut, once
 
 #: name -> regex class or sequence that separates pieces; in order of preference at equal scores.
 DELIMITERS = {"tab": r"\t", "line": r"\n", "bar": r"\|", "semicolon": ";", "comma": ",", "slash": r" / ", "mixed": r"; |, | \| "}
@@ -115,7 +115,8 @@ def split_packed(df: DataFrame, keys: Sequence[str], source: str, fields: Sequen
     # an unsplit text counts only where no delimiter gives a fitting number of pieces
     parted = F.filter(F.col("_cand"), lambda x: x["by"] != "none")
     rows = rows.withColumn("_cand", F.when(F.size(parted) > 0, parted).otherwise(F.col("_cand")))
-    rows = once(rows, _cand=F.col("_cand")).withColumn("_open", F.size("_cand") > 1)
+    # five plans read what the candidates are; they are worked out once
+    rows = cut(once(rows, _cand=F.col("_cand"))).withColumn("_open", F.size("_cand") > 1)
 
     clear = rows.filter(~F.coalesce(F.col("_open"), F.lit(False))).select(*ids, "_source", "field", F.coalesce("_own", F.col("_cand")[0]["values"]).alias("_values"), F.when(F.col("_own").isNull(), F.col("_cand")[0]["by"]).alias("_by"))
     # only texts that stay open meet the statistics of their source: how many of a candidate's
