@@ -138,6 +138,8 @@ def _leaked(docs: DataFrame, doc_id: str, text: str, items: dict[int, str], spar
             place, value = place[hit], at[place][hit]
             owner = np.searchsorted(starts, place, side="right") - 1
             rows = np.unique(owner)
+            if not len(rows):
+                continue
             lo, hi = np.searchsorted(owner, rows), np.searchsorted(owner, rows, side="right")
             yield pd.DataFrame(
                 {
