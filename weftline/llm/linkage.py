@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftline.session import cut
+
 RADIUS = 12
 CHUNK_BITS = 16
 CHUNKS = RADIUS + 1
@@ -160,6 +162,19 @@ def _bits(word: str, mark: str) -> tuple[int, ...]:
     return tuple(out)
 
 
+#: Chunks per whole number in which vectors are kept.
+PER_WORD = 3
+WORDS = -(-CHUNKS // PER_WORD)
+
+
+def _vector(bits: set[int]) -> list[int]:
+    out = [0] * WORDS
+    for b in bits:
+        chunk, at = divmod(b, CHUNK_BITS)
+        out[chunk // PER_WORD] |= 1 << at + CHUNK_BITS * (chunk % PER_WORD)
+    return out
+
+
 def encode(pdf: pd.DataFrame) -> pd.DataFrame:
     rows, vectors, texts = [], [], []
     for title, label, description, expiry in zip(pdf["title"], pdf["label"], pdf["description"], pdf["expiry"], strict=True):
@@ -167,34 +182,35 @@ def encode(pdf: pd.DataFrame) -> pd.DataFrame:
         bits = {b for w in words for b in _bits(w, "t")}
         if kind in ("side", "name"):
             bits |= {b for b in _bits(core, "l")}
-        chunks = [0] * CHUNKS
-        for b in bits:
-            chunks[b // CHUNK_BITS] |= 1 << b % CHUNK_BITS
         about = {b for w in _WORD.findall(numbers_of(dates_of(plain(description or ""))[1])[1]) if not _filler(w) for b in _bits(w, "d")}
-        flat = [0] * CHUNKS
-        for b in about:
-            flat[b // CHUNK_BITS] |= 1 << b % CHUNK_BITS
         exact = core if kind in ("range", "number") else ""
-        rows.append((day, f"{kind}|{exact}|{numbers}", core, words, dates_of(plain(expiry or ""))[0]))
-        vectors.append(chunks)
-        texts.append(flat)
+        # words pair up one to one, so their number is part of what must agree
+        rows.append((f"{day}|{kind}|{exact}|{numbers}|{len(words)}", core, words, dates_of(plain(expiry or ""))[0]))
+        vectors.append(_vector(bits))
+        texts.append(_vector(about))
     out = pdf[["exchange_id", "sid"]].copy()
-    for i, c in enumerate(("day", "must", "core", "words", "expires")):
+    for i, c in enumerate(("must", "core", "words", "expires")):
         out[c] = [r[i] for r in rows]
-    out["bits"], out["about"] = vectors, texts
+    for i in range(WORDS):
+        out[f"w{i}"] = [v[i] for v in vectors]
+        out[f"d{i}"] = [v[i] for v in texts]
     return out
 
 
-ENCODED = "exchange_id bigint, sid string, day string, must string, core string, words array<string>, expires string, bits array<int>, about array<int>"
+ENCODED = "exchange_id bigint, sid string, must string, core string, words array<string>, expires string, " + ", ".join(f"w{i} bigint, d{i} bigint" for i in range(WORDS))
 
 
-def _ones(a: Column) -> Column:
-    return F.aggregate(a, F.lit(0), lambda s, x: s + F.bit_count(x).cast("int"))
+def _sum(parts: list[Column]) -> Column:
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    return total
 
 
-def _dice(a: Column, b: Column) -> Column:
-    both = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseAND(y)).cast("int")), F.lit(0), lambda s, x: s + x)
-    total = _ones(a) + _ones(b)
+def _dice(x: str) -> Column:
+    a, b = [F.col(f"{x}{i}_a") for i in range(WORDS)], [F.col(f"{x}{i}_b") for i in range(WORDS)]
+    both = _sum([F.bit_count(p.bitwiseAND(q)) for p, q in zip(a, b, strict=True)])
+    total = _sum([F.bit_count(p) for p in [*a, *b]])
     return F.when(total > 0, 2.0 * both / total)
 
 
@@ -225,21 +241,32 @@ def match_contracts(contracts: DataFrame) -> DataFrame:
     all match each other; texts are read whole; an empty table gives no pairs.
     """
     rows = contracts.select("exchange_id", "sid", "title", "label", "description", "expiry").filter("exchange_id is not null and sid is not null")
-    encoded = rows.mapInPandas(lambda it: map(encode, it), ENCODED).filter(F.size("words") > 0)
-    chunked = encoded.select("*", F.posexplode("bits").alias("chunk", "value"))
-    left = chunked.select(*[F.col(c).alias(f"{c}_a") if c not in ("day", "must", "chunk", "value") else F.col(c) for c in chunked.columns])
-    right = chunked.select(*[F.col(c).alias(f"{c}_b") if c not in ("day", "must", "chunk", "value") else F.col(c) for c in chunked.columns])
-    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda s, x: s + x)
+    encoded = cut(rows.mapInPandas(lambda it: map(encode, it), ENCODED).filter(F.size("words") > 0))
+    ws = [f"w{i}" for i in range(WORDS)]
+    chunk = lambda i: F.shiftrightunsigned(f"w{i // PER_WORD}", CHUNK_BITS * (i % PER_WORD)).bitwiseAND(F.lit((1 << CHUNK_BITS) - 1))
+    buckets = encoded.select("exchange_id", "sid", "must", *ws, F.posexplode(F.array(*[chunk(i) for i in range(CHUNKS)])).alias("chunk", "value"))
+    # bucket keys go as one hash; what it might mix up is told apart below, where the keys themselves are compared
+    buckets = buckets.select(F.xxhash64("must", "chunk", "value").alias("key"), "chunk", "exchange_id", "sid", *ws)
+    left = buckets.select("key", "chunk", *[F.col(c).alias(f"{c}_a") for c in ("exchange_id", "sid", *ws)])
+    right = buckets.select("key", *[F.col(c).alias(f"{c}_b") for c in ("exchange_id", "sid", *ws)])
+    xor = [F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b")) for w in ws]
+    apart = _sum([F.bit_count(x) for x in xor])
     # a pair is kept in the first chunk in which it agrees, so that it comes once
-    first = F.array_position(F.zip_with("bits_a", "bits_b", lambda x, y: x == y), True) - 1
-    close = left.join(right, ["day", "must", "chunk", "value"]).filter((F.col("exchange_id_a") < F.col("exchange_id_b")) & (first == F.col("chunk")) & (apart <= RADIUS))
+    differs = lambda i: F.shiftrightunsigned(xor[i // PER_WORD], CHUNK_BITS * (i % PER_WORD)).bitwiseAND(F.lit((1 << CHUNK_BITS) - 1)) != 0
+    first = F.coalesce(*[F.when(~differs(i), F.lit(i)) for i in range(CHUNKS)])
+    close = left.join(right, "key").filter((F.col("exchange_id_a") < F.col("exchange_id_b")) & (apart <= RADIUS) & (first == F.col("chunk")))
+    facts = encoded.drop(*ws)
+    both = close.drop("key", "chunk")
+    for side in ("a", "b"):
+        both = both.join(facts.select(*[F.col(c).alias(f"{c}_{side}") for c in facts.columns]), [f"exchange_id_{side}", f"sid_{side}"])
     check = F.pandas_udf(_same_words, T.BooleanType())
-    title = F.coalesce(_dice(F.col("bits_a"), F.col("bits_b")), F.lit(0.0))
+    title = F.coalesce(_dice("w"), F.lit(0.0))
     label = F.when(F.col("core_a") == F.col("core_b"), 1.0).otherwise(1 - F.levenshtein("core_a", "core_b") / F.greatest(F.length("core_a"), F.length("core_b"), F.lit(1)))
     expiry = F.when((F.col("expires_a") == "") | (F.col("expires_b") == ""), 0.5).when(F.col("expires_a") == F.col("expires_b"), 1.0).otherwise(0.3)
-    about = F.coalesce(_dice(F.col("about_a"), F.col("about_b")), F.lit(0.7))
+    about = F.coalesce(_dice("d"), F.lit(0.7))
     score = WEIGHTS[0] * title + WEIGHTS[1] * label + WEIGHTS[2] * expiry + WEIGHTS[3] * about
     return (
-        close.filter(check("words_a", "words_b", "core_a", "core_b"))
+        both.filter(F.col("must_a") == F.col("must_b"))
+        .filter(check("words_a", "words_b", "core_a", "core_b"))
         .select("exchange_id_a", "sid_a", "exchange_id_b", "sid_b", (1 / (1 + F.exp(-SLOPE * (score - MIDDLE)))).alias("confidence"))
     )
