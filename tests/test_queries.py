@@ -6,6 +6,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from weftline.operators import changes, entities, lifecycle, relations
 from weftline.plans import registry
@@ -73,6 +74,21 @@ def test_tracker(spark):
     assert [r.native_id for r in stale.collect()] == ["gone"]
 
 
+def test_tracker_overflow_stays_at_the_threshold(spark):
+    t = spark.createDataFrame([(1, k, 1) for k in "abc"] + [(2, "f", 1)], "exchange_id long, native_id string, misses int")
+    none = spark.createDataFrame([(2, "new")], "exchange_id long, native_id string")
+    state, stale = changes.update_tracker(t, none, 2, F.col("exchange_id") == 2, most=2)
+    assert [r.native_id for r in stale.orderBy("native_id").collect()] == ["a", "b"]
+    assert {(r.native_id, r.misses) for r in state.collect()} == {("c", 2), ("f", 1), ("new", 0)}
+
+
+def test_derived_edges(spark):
+    judged = spark.createDataFrame([(1, 3, "IMPLIES", 0.9), (1, 5, "EQUIVALENT", 0.8), (3, 9, "MUTUALLY_EXCLUSIVE", 0.7)], "security_id_a long, security_id_b long, relationship_type string, confidence double")
+    comp = spark.createDataFrame([(1, 2), (2, 1), (3, 4), (4, 3)], "security_id long, other_id long")
+    got = {tuple(r)[:3] for r in relations.derive(judged, comp).collect()}
+    assert got == {(1, 3, "IMPLIES"), (4, 2, "IMPLIES"), (1, 5, "EQUIVALENT"), (3, 9, "MUTUALLY_EXCLUSIVE"), (9, 4, "IMPLIES")}
+
+
 def test_cascade_spares_what_is_still_listed_and_settles(spark):
     listings = spark.createDataFrame([(1, "l1", 10, True), (2, "l2", 10, True), (1, "l3", 11, True)], "exchange_id long, sid string, security_id long, active boolean")
     securities = spark.createDataFrame([(10, True), (11, True)], "security_id long, active boolean")
@@ -105,7 +121,7 @@ def test_written_pairs_are_unique_and_blocked_both_ways(spark):
 
 
 def test_one_bad_judgement_voids_the_response(spark):
-    ok, bad = '```json\n[{"a":1,"b":1,"type":"implies","confidence":0.9,"direction":"b_implies_a"}]\n```', '[{"a":1,"b":1,"type":"IMPLIES","confidence":"high"}]'
+    ok, bad = '```json\n[{"a":1,"b":1,"type":"implies","confidence":0.9,"direction":"B_IMPLIES_A"}]\n```', '[{"a":1,"b":1,"type":"IMPLIES","confidence":"high"}]'
     r = spark.createDataFrame([("p", ok), ("q", bad), ("z", "no json")], "pair_id string, text string")
     c = spark.createDataFrame([(p, s, 1, n) for p in "pqz" for s, n in (("a", 1), ("b", 2))], "pair_id string, side string, place int, security_id long")
     assert [tuple(x) for x in relations.judged_pairs(r, c).collect()] == [(2, 1, "IMPLIES", 0.9)]

@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 SEPARATOR = "\u0000"
 
 
-def slug(title: Column) -> Column:
-    """Lower case letters and digits, words joined by hyphens, 80 characters at most."""
-    kept = F.trim(F.regexp_replace(F.lower(title), r"[^a-z0-9\s]", ""))
-    return F.left(F.regexp_replace(kept, r"\s+", "-"), F.lit(80))
+def slug(text: Column, most: int | None = None) -> Column:
+    """Lower case letters and digits, words joined by hyphens."""
+    kept = F.trim(F.regexp_replace(F.lower(text), r"[^a-z0-9\s]", ""))
+    joined = F.regexp_replace(kept, r"\s+", "-")
+    return joined if most is None else F.left(joined, F.lit(most))
 
 
 def security_symbol(title: Column, outcome: Column, expiry: Column) -> Column:
-    """SLUG[-YYYYMMDDTHH]-OUTCOME; the hour part only where the expiry is set."""
-    return F.upper(F.concat_ws("-", slug(title), F.date_format(expiry, "yyyyMMdd'T'HH"), outcome))
+    """TITLE[-YYYYMMDDTHH]-OUTCOME as slugs, the title's cut at 80; the hour part only where the expiry is set."""
+    return F.upper(F.concat_ws("-", slug(title, 80), F.date_format(expiry, "yyyyMMdd'T'HH"), slug(outcome)))
 
 
 def parse_utc(text: Column) -> Column:
@@ -40,16 +41,23 @@ def title_key(title: Column) -> Column:
     return F.left(F.sha2(title, 256), F.lit(6))
 
 
-def pair_key(title_a: Column, labels_a: Column, title_b: Column, labels_b: Column) -> Column:
-    """Hash of two titled label lists that does not depend on their order."""
-    side = lambda t, ls: F.concat_ws(SEPARATOR, t, F.array_join(F.array_sort(ls), "|"))
-    a, b = side(title_a, labels_a), side(title_b, labels_b)
-    return F.sha2(F.concat_ws(SEPARATOR, F.least(a, b), F.greatest(a, b)), 256)
+def _side(title: Column, labels: Column) -> Column:
+    return F.concat_ws(SEPARATOR, title, F.array_join(F.array_sort(labels), "|"))
 
 
-def first_is_a(title_a: Column, title_b: Column) -> Column:
+def pair_key(model: Column, title_a: Column, labels_a: Column, title_b: Column, labels_b: Column) -> Column:
+    """Hash of two titled label lists under a model that does not depend on their order (nor on the labels')."""
+    a, b = _side(title_a, labels_a), _side(title_b, labels_b)
+    return F.sha2(F.concat_ws(SEPARATOR, model, F.least(a, b), F.greatest(a, b)), 256)
+
+
+def first_is_a(title_a: Column, labels_a: Column, title_b: Column, labels_b: Column) -> Column:
     """Orientation in which a symmetric entry is stored."""
-    return title_a <= title_b
+    return _side(title_a, labels_a) <= _side(title_b, labels_b)
+
+
+def canonical_key(model: Column, exchange: Column, native: Column) -> Column:
+    return F.sha2(F.concat_ws(SEPARATOR, model, exchange.cast("string"), native), 256)
 
 
 def strip_code_fences(text: Column) -> Column:

@@ -76,14 +76,22 @@ def send_once(resolved: DataFrame, sent: DataFrame, keys: list[str]) -> tuple[Da
     return new, memory
 
 
-def update_tracker(tracker: DataFrame, active: DataFrame, threshold: int, failed: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """(tracker, stale): absences in a row per key. Present or new: 0; absent: one more; at the threshold stale and dropped; failed exchanges stay."""
+def update_tracker(tracker: DataFrame, active: DataFrame, threshold: int, failed: Column | None = None, most: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(tracker, stale): absences in a row per key. Present or new: 0; absent: one more; at the threshold stale and dropped; failed exchanges stay.
+
+    Beyond ``most`` stale keys (in order of key) the rest stays in the tracker at the threshold and comes again.
+    """
     both = tracker.select(*NATIVE, "misses").join(active.select(*NATIVE).distinct().withColumn("here", F.lit(True)), NATIVE, "full_outer")
     skipped = F.lit(False) if failed is None else failed
-    misses = F.when(F.col("here"), 0).when(skipped, F.col("misses")).otherwise(F.col("misses") + 1)
-    counted = both.select(*NATIVE, misses.cast("int").alias("misses"), skipped.alias("_s"))
-    stale = counted.filter((F.col("misses") >= threshold) & ~F.col("_s"))
-    return counted.filter((F.col("misses") < threshold) | F.col("_s")).drop("_s"), stale.drop("_s")
+    misses = F.when(F.col("here") & F.col("misses").isNull(), 0).when(skipped, F.col("misses")).when(F.col("here"), 0).otherwise(F.col("misses") + 1)
+    counted = both.select(*NATIVE, misses.cast("int").alias("misses"), (skipped & F.col("misses").isNotNull()).alias("_s"))
+    stale = counted.filter((F.col("misses") >= threshold) & ~F.col("_s")).drop("_s")
+    kept = counted.filter((F.col("misses") < threshold) | F.col("_s")).drop("_s")
+    if most is not None:
+        sent = stale.orderBy(*NATIVE).limit(most)
+        rest = stale.join(sent.select(*NATIVE), NATIVE, "left_anti").withColumn("misses", F.lit(threshold))
+        return kept.unionByName(rest), sent
+    return kept, stale
 
 
 def chunk_ids(df: DataFrame, order: list[str], size: int, groups: list[str]) -> DataFrame:

@@ -42,13 +42,17 @@ def primary_contracts(links: DataFrame) -> DataFrame:
 
 
 def keyword_pairs(contracts: DataFrame, keywords: DataFrame) -> DataFrame:
-    """Contracts whose text holds a keyword as a whole word: the words are exploded and joined by equality, so no theta join is left.
+    """Contracts whose text holds a keyword or phrase as whole words.
 
-    ``contracts``: security_id, text; ``keywords``: keyword (one word), keyword_security_id. Case does not matter.
+    ``contracts``: security_id, text; ``keywords``: keyword, keyword_security_id. Case does not matter. The words of the texts meet the
+    first words of the keywords by equality and phrases are then checked on the text, so no theta join is left.
     """
-    words = contracts.select("security_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\w+)"), F.lit(1)))).alias("keyword"))
-    keys = keywords.select(F.lower("keyword").alias("keyword"), "keyword_security_id").distinct()
-    return words.join(keys, "keyword").filter("security_id <> keyword_security_id").select("keyword_security_id", "security_id", "keyword").distinct()
+    word = r"(?U)(\w+)"
+    texts = contracts.select("security_id", F.lower("text").alias("text"))
+    words = texts.select("security_id", "text", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(word), F.lit(1)))).alias("first"))
+    keys = keywords.select(F.lower("keyword").alias("keyword"), "keyword_security_id").distinct().withColumn("first", F.regexp_extract("keyword", word, 1)).filter("first <> ''")
+    holds = F.expr(r"text rlike concat('(?U)\\b\\Q', keyword, '\\E\\b')")
+    return words.join(keys, "first").filter(holds).select("security_id", "keyword_security_id", "keyword").distinct()
 
 
 def parse_judgement(text: Column) -> Column:
@@ -61,45 +65,45 @@ def parse_judgement(text: Column) -> Column:
 def judged_pairs(responses: DataFrame, contracts: DataFrame, least: float = 0.7) -> DataFrame:
     """Judged relations of securities. ``responses``: pair_id, text; ``contracts``: pair_id, side ('a' or 'b'), place (from 1), security_id.
 
-    Per (a, b) the most confident item counts, the first of equals; an unknown type, a place that does not exist or a confidence below ``least`` gives none.
+    Per (a, b) the most confident item counts, the first of equals (one without confidence ranks last); an unknown type, a place that
+    does not exist or a confidence below ``least`` gives none. All types but IMPLIES are given in both directions.
     """
     items = responses.select("pair_id", F.posexplode(parse_judgement(F.col("text"))).alias("no", "x")).select(
-        "pair_id", "no", F.col("x.a").try_cast("int").alias("pa"), F.col("x.b").try_cast("int").alias("pb"), F.upper(F.trim("x.type")).alias("relationship_type"), F.coalesce(F.col("x.confidence").try_cast("double"), F.lit(least)).alias("confidence"), F.col("x.direction").alias("direction")
+        "pair_id", "no", F.col("x.a").try_cast("int").alias("pa"), F.col("x.b").try_cast("int").alias("pb"), F.upper(F.trim("x.type")).alias("relationship_type"), F.coalesce(F.col("x.confidence").try_cast("double"), F.lit(least)).alias("confidence"), F.coalesce(F.col("x.confidence").try_cast("double"), F.lit(0.0)).alias("rank"), F.upper("x.direction").alias("direction")
     )
     sound = items.filter(F.col("relationship_type").isin(*TYPES) & (F.col("confidence") >= least))
-    best = sound.withColumn("rk", F.row_number().over(Window.partitionBy("pair_id", "pa", "pb").orderBy(F.desc("confidence"), "no"))).filter("rk = 1")
+    best = sound.withColumn("rk", F.row_number().over(Window.partitionBy("pair_id", "pa", "pb").orderBy(F.desc("rank"), F.when(F.col("rank") == 0, -F.col("no")).otherwise(F.col("no"))))).filter("rk = 1")
     a = contracts.filter("side = 'a'").select("pair_id", F.col("place").alias("pa"), F.col("security_id").alias("security_id_a"))
     b = contracts.filter("side = 'b'").select("pair_id", F.col("place").alias("pb"), F.col("security_id").alias("security_id_b"))
     found = best.join(a, ["pair_id", "pa"]).join(b, ["pair_id", "pb"])
-    swap = (F.col("relationship_type") == "IMPLIES") & (F.col("direction") == "b_implies_a")
-    return found.select(F.when(swap, F.col("security_id_b")).otherwise(F.col("security_id_a")).alias("security_id_a"), F.when(swap, F.col("security_id_a")).otherwise(F.col("security_id_b")).alias("security_id_b"), "relationship_type", "confidence")
+    swap = (F.col("relationship_type") == "IMPLIES") & (F.col("direction") == "B_IMPLIES_A")
+    there = F.struct(F.col("security_id_a").alias("security_id_a"), F.col("security_id_b").alias("security_id_b"))
+    back = F.struct(F.col("security_id_b").alias("security_id_a"), F.col("security_id_a").alias("security_id_b"))
+    ends = F.when(swap, F.array(back)).when(F.col("relationship_type") == "IMPLIES", F.array(there)).otherwise(F.array(there, back))
+    return found.select(F.inline(ends), "relationship_type", "confidence")
 
 
 def derive(judged: DataFrame, complements: DataFrame) -> DataFrame:
-    """Judged edges, the other direction of symmetric ones, and what complements imply.
+    """Judged edges and what complements add to them.
 
-    a EQUIVALENT b: each excludes the other's complement (both directions); a IMPLIES b: not-b IMPLIES not-a;
-    a excludes b: a IMPLIES not-b and b IMPLIES not-a.
+    a IMPLIES b: not-b IMPLIES not-a; a EQUIVALENT b: not-a and not-b are, in both directions;
+    a excludes b: a IMPLIES not-b and b IMPLIES not-a. Where a complement is missing nothing is added.
     """
     ca = complements.select(F.col("security_id").alias("security_id_a"), F.col("other_id").alias("not_a"))
     cb = complements.select(F.col("security_id").alias("security_id_b"), F.col("other_id").alias("not_b"))
     j = judged.join(ca, "security_id_a", "left").join(cb, "security_id_b", "left")
     a, b, na, nb, t = (F.col(c) for c in ("security_id_a", "security_id_b", "not_a", "not_b", "relationship_type"))
     edge = lambda x, y, kind, when: F.when(when, F.struct(x.alias("security_id_a"), y.alias("security_id_b"), kind.alias("relationship_type")))
-    me, imp = F.lit("MUTUALLY_EXCLUSIVE"), F.lit("IMPLIES")
+    imp = F.lit("IMPLIES")
     made = F.array(
         edge(a, b, t, F.lit(True)),
-        edge(b, a, t, t.isin(*SYMMETRIC)),
-        edge(a, nb, me, t == "EQUIVALENT"),
-        edge(nb, a, me, t == "EQUIVALENT"),
-        edge(b, na, me, t == "EQUIVALENT"),
-        edge(na, b, me, t == "EQUIVALENT"),
         edge(nb, na, imp, t == "IMPLIES"),
+        edge(na, nb, t, t == "EQUIVALENT"),
+        edge(nb, na, t, t == "EQUIVALENT"),
         edge(a, nb, imp, t == "MUTUALLY_EXCLUSIVE"),
         edge(b, na, imp, t == "MUTUALLY_EXCLUSIVE"),
     )
-    ok = F.filter(made, lambda x: x.isNotNull() & x["security_id_a"].isNotNull() & x["security_id_b"].isNotNull() & (x["security_id_a"] != x["security_id_b"]))
-    return j.select(F.inline(ok), "confidence")
+    return j.select(F.inline(F.filter(made, lambda x: x.isNotNull() & x["security_id_a"].isNotNull() & x["security_id_b"].isNotNull())), "confidence")
 
 
 def best_per_pair(matches: DataFrame, order: str) -> DataFrame:

@@ -56,7 +56,7 @@ def _query(sql: str | None = None):  # noqa: ANN202
 
 
 @_query("""SELECT s.security_id, upper(concat_ws('-', left(regexp_replace(trim(regexp_replace(lower(e.title), '[^a-z0-9\\s]', '', 'g')), '\\s+', '-', 'g'), 80),
-  strftime(s.expiry, '%Y%m%dT%H'), s.outcome_label)) AS symbol FROM sm_security s JOIN sm_event e USING (event_id)""")
+  strftime(s.expiry, '%Y%m%dT%H'), regexp_replace(trim(regexp_replace(lower(s.outcome_label), '[^a-z0-9\\s]', '', 'g')), '\\s+', '-', 'g'))) AS symbol FROM sm_security s JOIN sm_event e USING (event_id)""")
 def symbol_slug(spark: SparkSession, folder: str) -> DataFrame:
     s, e = table(spark, folder, "sm_security"), table(spark, folder, "sm_event").select("event_id", "title")
     return s.join(e, "event_id").select("security_id", S.security_symbol(F.col("title"), F.col("outcome_label"), F.col("expiry").cast("timestamp")).alias("symbol"))
@@ -81,7 +81,7 @@ def contract_hash(spark: SparkSession, folder: str) -> DataFrame:
 t AS (SELECT e.event_id, concat_ws(chr(0), e.title, array_to_string(l.ls, '|')) AS k, e.title FROM sm_event e JOIN l USING (event_id)),
 p AS (SELECT DISTINCT least(a.event_id, b.event_id) x, greatest(a.event_id, b.event_id) y FROM (SELECT * FROM contract_relationship) r
   JOIN sm_security a ON a.security_id = r.security_id_a JOIN sm_security b ON b.security_id = r.security_id_b WHERE a.event_id <> b.event_id)
-SELECT x AS event_a, y AS event_b, sha256(concat_ws(chr(0), least(a.k, b.k), greatest(a.k, b.k))) AS pair_key, a.title <= b.title AS a_first FROM p JOIN t a ON a.event_id = x JOIN t b ON b.event_id = y""")
+SELECT x AS event_a, y AS event_b, sha256(concat_ws(chr(0), 'judge-1', least(a.k, b.k), greatest(a.k, b.k))) AS pair_key, a.k <= b.k AS a_first FROM p JOIN t a ON a.event_id = x JOIN t b ON b.event_id = y""")
 def pair_hash_symmetric(spark: SparkSession, folder: str) -> DataFrame:
     sec, ev = table(spark, folder, "sm_security"), table(spark, folder, "sm_event")
     labels = sec.filter("event_id is not null and outcome_label is not null").groupBy("event_id").agg(F.collect_list("outcome_label").alias("ls"))
@@ -91,7 +91,7 @@ def pair_hash_symmetric(spark: SparkSession, folder: str) -> DataFrame:
     a, b = ids.toDF("security_id_a", "ea"), ids.toDF("security_id_b", "eb")
     pairs = rel.join(a, "security_id_a").join(b, "security_id_b").filter("ea <> eb").select(F.least("ea", "eb").alias("event_a"), F.greatest("ea", "eb").alias("event_b")).distinct()
     both = pairs.join(titled.toDF("event_a", "ta", "la"), "event_a").join(titled.toDF("event_b", "tb", "lb"), "event_b")
-    return both.select("event_a", "event_b", S.pair_key(F.col("ta"), F.col("la"), F.col("tb"), F.col("lb")).alias("pair_key"), S.first_is_a(F.col("ta"), F.col("tb")).alias("a_first"))
+    return both.select("event_a", "event_b", S.pair_key(F.lit("judge-1"), F.col("ta"), F.col("la"), F.col("tb"), F.col("lb")).alias("pair_key"), S.first_is_a(F.col("ta"), F.col("la"), F.col("tb"), F.col("lb")).alias("a_first"))
 
 
 @_query("SELECT event_id, left(sha256(title), 6) AS key FROM sm_event WHERE title IS NOT NULL")
@@ -194,11 +194,11 @@ def or_join_relationships(spark: SparkSession, folder: str) -> DataFrame:
     return relations.touching(rel, table(spark, folder, "sm_security").filter("active")).select("relationship_id")
 
 
-@_query("""WITH k AS (SELECT * FROM (VALUES ('harbour', 1), ('mayor', 2), ('vaccine', 3), ('union', 4), ('ferry', 5)) t(keyword, keyword_security_id))
+@_query("""WITH k AS (SELECT * FROM (VALUES ('harbour', 1), ('mayor', 2), ('vaccine', 3), ('union', 4), ('satellite phone', 5)) t(keyword, keyword_security_id))
 SELECT DISTINCT k.keyword_security_id, s.security_id, k.keyword FROM k JOIN (SELECT s.security_id, e.title || ' ' || coalesce(s.outcome_label, '') AS text FROM sm_security s JOIN sm_event e USING (event_id)) s
-ON regexp_matches(lower(s.text), '\\b' || k.keyword || '\\b') WHERE s.security_id <> k.keyword_security_id""")
+ON regexp_matches(lower(s.text), '\\b' || k.keyword || '\\b')""")
 def hedgeable_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    words = spark.createDataFrame([("harbour", 1), ("mayor", 2), ("vaccine", 3), ("union", 4), ("ferry", 5)], "keyword string, keyword_security_id long")
+    words = spark.createDataFrame([("harbour", 1), ("mayor", 2), ("vaccine", 3), ("union", 4), ("satellite phone", 5)], "keyword string, keyword_security_id long")
     s = table(spark, folder, "sm_security").join(table(spark, folder, "sm_event").select("event_id", "title"), "event_id")
     return relations.keyword_pairs(s.select("security_id", F.concat_ws(" ", "title", "outcome_label").alias("text")), words)
 
@@ -396,12 +396,10 @@ WHERE security_id_a IS NOT NULL AND security_id_b IS NOT NULL AND security_id_a
 
 
 @_query(f"""WITH {_COMPLEMENT}, {_JUDGED}, x AS (SELECT j.*, ca.other_id na, cb.other_id nb FROM j LEFT JOIN comp ca ON ca.security_id = a LEFT JOIN comp cb ON cb.security_id = b),
-e AS (SELECT a, b, t, confidence FROM x UNION ALL SELECT b, a, t, confidence FROM x WHERE t <> 'IMPLIES'
-UNION ALL SELECT a, nb, 'MUTUALLY_EXCLUSIVE', confidence FROM x WHERE t = 'EQUIVALENT' UNION ALL SELECT nb, a, 'MUTUALLY_EXCLUSIVE', confidence FROM x WHERE t = 'EQUIVALENT'
-UNION ALL SELECT b, na, 'MUTUALLY_EXCLUSIVE', confidence FROM x WHERE t = 'EQUIVALENT' UNION ALL SELECT na, b, 'MUTUALLY_EXCLUSIVE', confidence FROM x WHERE t = 'EQUIVALENT'
-UNION ALL SELECT nb, na, 'IMPLIES', confidence FROM x WHERE t = 'IMPLIES' UNION ALL SELECT a, nb, 'IMPLIES', confidence FROM x WHERE t = 'MUTUALLY_EXCLUSIVE'
-UNION ALL SELECT b, na, 'IMPLIES', confidence FROM x WHERE t = 'MUTUALLY_EXCLUSIVE')
-SELECT a AS security_id_a, b AS security_id_b, t AS relationship_type, confidence FROM e WHERE a IS NOT NULL AND b IS NOT NULL AND a <> b""")
+e AS (SELECT a, b, t, confidence FROM x UNION ALL SELECT nb, na, 'IMPLIES', confidence FROM x WHERE t = 'IMPLIES'
+UNION ALL SELECT na, nb, t, confidence FROM x WHERE t = 'EQUIVALENT' UNION ALL SELECT nb, na, t, confidence FROM x WHERE t = 'EQUIVALENT'
+UNION ALL SELECT a, nb, 'IMPLIES', confidence FROM x WHERE t = 'MUTUALLY_EXCLUSIVE' UNION ALL SELECT b, na, 'IMPLIES', confidence FROM x WHERE t = 'MUTUALLY_EXCLUSIVE')
+SELECT a AS security_id_a, b AS security_id_b, t AS relationship_type, confidence FROM e WHERE a IS NOT NULL AND b IS NOT NULL""")
 def derive_relationships(spark: SparkSession, folder: str) -> DataFrame:
     rel = table(spark, folder, "contract_relationship").select("security_id_a", "security_id_b", F.upper(F.trim("relationship_type")).alias("relationship_type"), "confidence")
     judged = rel.filter("security_id_a is not null and security_id_b is not null and security_id_a <> security_id_b and confidence is not null").filter(F.col("relationship_type").isin(*relations.TYPES)).distinct()
@@ -424,7 +422,8 @@ def symmetric_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @_query(f"""WITH {_JUDGED}, f AS (SELECT a, b, t, confidence, row_number() OVER (PARTITION BY a, b ORDER BY confidence DESC, t) rk FROM j)
-SELECT a AS security_id_a, b AS security_id_b, t AS relationship_type, confidence FROM f WHERE rk = 1 AND confidence >= 0.7""")
+SELECT a AS security_id_a, b AS security_id_b, t AS relationship_type, confidence FROM f WHERE rk = 1 AND confidence >= 0.7
+UNION ALL SELECT b, a, t, confidence FROM f WHERE rk = 1 AND confidence >= 0.7 AND t <> 'IMPLIES'""")
 def judge_parse(spark: SparkSession, folder: str) -> DataFrame:
     """Judgements sent through their JSON response form and back: one fenced response per pair of securities."""
     rel = table(spark, folder, "contract_relationship").select("security_id_a", "security_id_b", F.upper(F.trim("relationship_type")).alias("t"), "confidence").filter("security_id_a <> security_id_b and confidence is not null").distinct()
