@@ -51,7 +51,8 @@ STOP = "\\.(?:" + "|".join(
         r"(?<=(?:^|[\s(«\"])\p{IsArabic}\.)",
     ]
 ) + ")"
-_OPEN = r"(\[«\u201c\u201e\u300c\u300e\uff08"
+# classes ask one range first, so that letters of most scripts cost one comparison
+_OPEN = r"(\[«[\u2010-\uffff&&[\u201c\u201e\u300c\u300e\uff08]]"
 _GROUPS = [r"\([^()\n]*+\)", r"\[[^\[\]\n]*+\]", r"«[^«»\n]*+»", "「[^「」\\n]*+」", "『[^『』\\n]*+』", "（[^（）\\n]*+）"]
 #: A text in pieces: quotations and brackets as wholes, what stands between them, and openers that nothing closes.
 PIECES = "(" + "|".join([rf"[^{_OPEN}]++", r"“[^“”\n]*+”", *_GROUPS, r"[\s\S]"]) + ")"
@@ -62,7 +63,7 @@ PIECES_LOW = "(" + "|".join([rf"[^{_OPEN}]++", r"„[^„“\n]*+“", *_GROUPS,
 def _masked_groups(text: Column, pieces: str) -> Column:
     """Masks the terminators inside quotations and brackets, all but one right before the closing mark."""
     inner = lambda p: F.regexp_replace(p, r"[.!?؟。！？](?!\s?.$)", _MASK)
-    group = lambda p: F.when(p.rlike(rf"^[{_OPEN}].") & p.rlike(r"[.!?؟。！？]"), inner(p)).otherwise(p)
+    group = lambda p: F.when(F.left(p, F.lit(1)).isin(*"([«“„「『（"), inner(p)).otherwise(p)
     return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(pieces), F.lit(1)), group), "")
 
 
