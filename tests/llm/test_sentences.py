@@ -14,6 +14,7 @@ CASES = [
     ["Counsel for Mr. Razeld relied on s. 32(5) of the Act, i.e. the notice rule.", "We think not!", "The judge (Hon. H.L. Lejar, sitting alone) heard Jori... and reserved."],
     ["It was sent to desk@razeld.example and posted at www.docket.example/v6.2.", "The award of $215.6 million was cut by 42.71 per cent."],
     ["See Jihist v. Nesald, 762 Ost. App. 803, 37–108 (App. Div. 1961).", "The debtor was Zejist Corp.", "Did Jado Simold Inc. act in time?"],
+    ["At 9:23 a.m. on May. 7, 2019, the agent of Rana Inc. called.", "No. 65, Pier St., is held since May.", "7 days later it was shut."],
     ["The parties agreed that “the vessel is lost! It cannot be found.”", "It held rotor, paddock, etc.", "10 days later the gate was shut at 5 p.m."],
     ["„Nach 115 Tagen war der Pfeiler versiegelt. Denn: Wer zahlt, muss prüfen lassen“, erklärte Frau Hopold.", "Dies gilt z. B. für die Miete (vgl. Rn. 41 ff.), nicht aber für das 3. Obergeschoss.", "Am 11. Mai 2022 zahlte die Ganar GmbH & Co. KG rd. 23.613,23 Euro.", "Der Umbau stammt vom 1.7.2009."],
     ["« Ni le devis n'avait été déposé ; le tunnel semblait perdu. » a déclaré le témoin.", "Le n° 53 (v. M. D. Resist) fut fermé à 9 h. 21.", "Est-ce suffisant ?", "La S.A. Gefast a saisi la cour le 1er mai 2017 (cf. p. 86)."],

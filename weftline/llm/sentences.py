@@ -33,6 +33,8 @@ STOP = "\\.(?:" + "|".join(
     [
         _behind(ALWAYS),
         _behind(BEFORE_NUMBER) + r"(?=\s?[\d(§])",
+        # months in full are abbreviated only in dates
+        r"(?<=\b(?:March|April|May|June|July)\.)(?=\s\d{1,2},\s\d{4})",
         # initials: a single capital before a capital, a bracket, a redaction or a number
         r"(?<=(?<![\p{L}\d])\p{Lu}\.)(?<!N\.N\.)(?=\s?[\p{Lu}\[█…\d])",
         r"(?<=N\.N\.)(?=\s(?:Inc|Corp|Ltd|LLC|Bros|Co\b|GmbH|S\.))",
