@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from weftline.functions.scalars import expiry_close
+from weftline.session import cut
 
 
 def split_known(rows: DataFrame, known: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -40,14 +41,14 @@ def leaders(rows: DataFrame, title: str, value: str, pos: str, tolerance: int) -
 
 
 def with_ids(rows: DataFrame, taken: DataFrame, id_column: str, order: list[str]) -> DataFrame:
-    """Ids after the highest taken one, in order. Rows are counted per range partition, so no task sees all of them."""
-    spread = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id())
+    """Ids after the highest taken one, in order. Rows are counted per range partition, so no task sees all of them; the partitions are
+    written before they are counted, so a lost executor cannot number them anew."""
+    spread = cut(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id()))
     counts = spread.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_low"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), "_low")
-    top = taken.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("_top"))
-    placed = spread.join(starts, "_part").crossJoin(F.broadcast(top))  # one row
-    return placed.withColumn(id_column, F.col("_top") + F.col("_before") + F.col("_row") - F.col("_low") + 1).drop("_part", "_row", "_before", "_low", "_top")
+    top = taken.select(F.coalesce(F.max(id_column), F.lit(0))).scalar()
+    return spread.join(starts, "_part").withColumn(id_column, top + F.col("_before") + F.col("_row") - F.col("_low") + 1).drop("_part", "_row", "_before", "_low")
 
 
 def new_first(rows: DataFrame, existing: DataFrame, keys: list[str], pos: str, columns: list[str]) -> DataFrame:

@@ -20,8 +20,7 @@ LAST = "(SELECT max(snapshot_no) FROM contract_snapshot)"
 def _snap(spark: SparkSession, folder: str, back: int) -> DataFrame:
     """The last snapshot (or one ``back`` before it), one row per contract: its latest copy."""
     rows = table(spark, folder, "contract_snapshot").filter("exchange_id is not null and exchange_security_id is not null")
-    top = rows.agg(F.max("snapshot_no").alias("top"))
-    now = rows.join(F.broadcast(top), F.col("snapshot_no") == F.col("top") - back, "left_semi")  # one row
+    now = rows.filter(F.col("snapshot_no") == table(spark, folder, "contract_snapshot").select(F.max("snapshot_no")).scalar() - back)
     cols = ["event_title", "outcome_label", "exchange_event_native_id", "event_volume", "ingest_pos", "tick_size", "lot_size", "min_notional", "contract_multiplier", "received_at"]
     best = F.max_by(F.struct(*cols), F.struct("received_at", "ingest_pos")).alias("r")
     return now.groupBy("exchange_id", "exchange_security_id").agg(best).select("exchange_id", "exchange_security_id", *[F.col(f"r.{c}").alias(c) for c in cols])
@@ -343,8 +342,8 @@ u AS (SELECT exchange_id, native_id, CASE WHEN here THEN 0 ELSE misses + 1 END A
 
 def _tracked(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     raw = table(spark, folder, "contract_snapshot").filter("exchange_event_native_id is not null and exchange_id is not null")
-    top = F.broadcast(table(spark, folder, "contract_snapshot").agg(F.max("snapshot_no").alias("top")))  # one row
-    ticks = raw.select("exchange_id", F.col("exchange_event_native_id").alias("native_id"), "snapshot_no").crossJoin(top)
+    top = table(spark, folder, "contract_snapshot").select(F.max("snapshot_no")).scalar()
+    ticks = raw.select("exchange_id", F.col("exchange_event_native_id").alias("native_id"), "snapshot_no", top.alias("top"))
     tracker = ticks.filter("snapshot_no < top").groupBy(*changes.NATIVE, "top").agg(F.max("snapshot_no").alias("seen")).select(*changes.NATIVE, (F.col("top") - 1 - F.col("seen")).alias("misses"))
     return changes.update_tracker(tracker, ticks.filter("snapshot_no = top"), 2)
 
