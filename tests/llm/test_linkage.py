@@ -43,4 +43,6 @@ def test_nulls_copies_long_texts_and_nothing(spark):
     long = "Zika Delix " + "wordy " * 20_000 + "by 2025-09-13"
     rows = [(1, "n", None, None, None, None), (None, "m", "T 2026-01-01", "Yes", None, None), (2, None, "T", "Yes", None, None), (1, "l", long, "Yes", long, long), (2, "k", long, "Yes", None, ""), (3, "k2", long, "Yes", None, "")]
     assert set(matched(spark, rows)) == {("l", "k"), ("l", "k2"), ("k", "k2")}
+    same = [(1, f"a{i}", "Zika Delix out by 2025-09-13", "Yes", None, None) for i in range(50)] + [(2, f"b{i}", "Delix Zika released 13 Sep 2025", "yes", None, None) for i in range(50)]
+    assert set(matched(spark, same)) == {("a0", "b0")}
     assert matched(spark, []) == {}

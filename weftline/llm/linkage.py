@@ -232,15 +232,29 @@ def _same_words(a: pd.Series, b: pd.Series, core_a: pd.Series, core_b: pd.Series
     )
 
 
+TEXTS = ["title", "label", "description", "expiry"]
+
+
+def copies(contracts: DataFrame) -> DataFrame:
+    """Rows ``(exchange_id, sid, head)``: every contract with the lowest id among those of its exchange with the very same texts."""
+    rows = contracts.select("exchange_id", "sid", *TEXTS).filter("exchange_id is not null and sid is not null")
+    alike = F.struct(*TEXTS)
+    marked = rows.select("exchange_id", "sid", F.sha2(F.to_json(alike, {"ignoreNullFields": "false"}), 256).alias("alike"))
+    heads = marked.groupBy("exchange_id", "alike").agg(F.min("sid").alias("head"))
+    return marked.join(heads, ["exchange_id", "alike"]).select("exchange_id", "sid", "head").distinct()
+
+
 def match_contracts(contracts: DataFrame) -> DataFrame:
     """Pairs ``(exchange_id_a, sid_a, exchange_id_b, sid_b, confidence)`` of different venues, each pair once.
 
     ``contracts`` has exchange_id, sid, title, label, description, expiry, one row per contract; other columns are
-    never read. Rows without exchange, id or title words have nothing to be matched by and give no pairs; null
-    labels form a class of their own, and so do contracts that name no day; ties and repeated texts under several ids
-    all match each other; texts are read whole; an empty table gives no pairs.
+    never read. Contracts of one exchange with the very same texts are matched through the lowest of their ids, as ``copies``
+    gives it. Rows without exchange, id or title words have nothing to be matched by and give no pairs; null
+    labels form a class of their own, and so do contracts that name no day; ties all match each other; texts are
+    read whole; an empty table gives no pairs.
     """
-    rows = contracts.select("exchange_id", "sid", "title", "label", "description", "expiry").filter("exchange_id is not null and sid is not null")
+    rows = contracts.select("exchange_id", "sid", *TEXTS).filter("exchange_id is not null and sid is not null")
+    rows = rows.groupBy("exchange_id", *TEXTS).agg(F.min("sid").alias("sid"))
     encoded = cut(rows.mapInPandas(lambda it: map(encode, it), ENCODED).filter(F.size("words") > 0))
     ws = [f"w{i}" for i in range(WORDS)]
     chunk = lambda i: F.shiftrightunsigned(f"w{i // PER_WORD}", CHUNK_BITS * (i % PER_WORD)).bitwiseAND(F.lit((1 << CHUNK_BITS) - 1))

@@ -25,6 +25,8 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Groups in which the items of one length are ranked, so that a length that very many share is no single task.
 RANK_GROUPS = 64
+#: Kinds of containers that may be packed for at once; beyond that it is an error, as each kind is a plan of its own.
+MOST_KINDS = 1000
 
 
 @lru_cache(maxsize=2)
@@ -118,8 +120,11 @@ def pack(items: DataFrame, sizes: DataFrame, kind: str, capacity: str) -> DataFr
     capacities below 1 hold nothing and give no rows. Repeated item keys are separate items; an empty table gives no rows.
     """
     counted = items.select("item", "tokens")
-    kinds = sizes.select(F.col(kind).alias("kind"), F.col(capacity).cast("long").alias("cap")).filter("cap >= 1")
-    pieces = counted.join(F.broadcast(kinds)).select(
+    kinds = sizes.select(F.col(kind).alias("kind"), F.col(capacity).cast("long").alias("cap")).filter("cap >= 1").distinct().limit(MOST_KINDS + 1).collect()
+    if len(kinds) > MOST_KINDS:
+        raise ValueError(f"more than {MOST_KINDS} kinds of containers")
+    every = F.array(*[F.struct(F.lit(k["kind"]).alias("kind"), F.lit(k["cap"]).cast("long").alias("cap")) for k in kinds]).cast("array<struct<kind:string,cap:bigint>>")
+    pieces = counted.select("item", "tokens", F.inline(every)).select(
         "kind",
         "cap",
         "item",

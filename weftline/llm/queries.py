@@ -9,7 +9,7 @@ from weftline.functions.text import strip_all
 from weftline.llm.ann import most_similar
 from weftline.llm.components import groups_of_pairs
 from weftline.llm.leakage import leaked_items
-from weftline.llm.linkage import match_contracts
+from weftline.llm.linkage import copies, match_contracts
 from weftline.llm.packing import pack_texts
 from weftline.llm.sentences import sentence_units
 from weftline.operators.snapshots import latest_copy
@@ -44,14 +44,20 @@ def _contracts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p5_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """Contracts of different venues that mean the same outcome, with a confidence."""
+    """Contracts of different venues that mean the same outcome, with a confidence; copies of a text at one venue through one of them."""
     return match_contracts(_contracts(spark, folder))
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """The matched contracts' ids, each pair once with the lower id first."""
-    pairs = p5_pairs(spark, folder).filter((F.col("confidence") >= 0.5) & (F.col("sid_a") != F.col("sid_b")))
-    return pairs.select(F.least("sid_a", "sid_b").alias("exchange_security_id_a"), F.greatest("sid_a", "sid_b").alias("exchange_security_id_b")).distinct()
+    contracts = _contracts(spark, folder)
+    pairs = match_contracts(contracts).filter(F.col("confidence") >= 0.5)
+    member = copies(contracts)
+    for side in ("a", "b"):
+        own = member.select(F.col("exchange_id").alias(f"exchange_id_{side}"), F.col("head").alias(f"sid_{side}"), F.col("sid").alias(f"own_{side}"))
+        pairs = pairs.join(own, [f"exchange_id_{side}", f"sid_{side}"])
+    pairs = pairs.filter("own_a <> own_b")
+    return pairs.select(F.least("own_a", "own_b").alias("exchange_security_id_a"), F.greatest("own_a", "own_b").alias("exchange_security_id_b")).distinct()
 
 
 def p8_pack(spark: SparkSession, folder: str) -> DataFrame:
