@@ -1,5 +1,6 @@
 import random
 
+from weftline.llm import components
 from weftline.llm.components import groups_of_pairs
 
 
@@ -35,6 +36,13 @@ def test_shapes_against_union_find(spark):
         assert groups(spark, pairs) == union_find(pairs)
 
 
+def test_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(components, "BROADCAST_ROWS", 0)
+    random.seed(6)
+    pairs = [(random.randint(1, 80), random.randint(1, 80)) for _ in range(60)]
+    assert groups(spark, pairs) == union_find([p for p in pairs if p[0] != p[1]])
+
+
 def test_nulls_loops_and_nothing(spark):
     assert groups(spark, [(None, 1), (2, None), (3, 3)]) == {}
     assert groups(spark, []) == {}

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from weftline.session import cut
 
+#: Up to so many nodes (two whole numbers each) a round's pointers are broadcast; beyond it they are joined by shuffle.
+BROADCAST_ROWS = 200_000
+
 
 def groups_of_pairs(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """Rows ``(node, group_id)``: every node of a pair, with the smallest node linked to it directly or indirectly.
@@ -36,13 +39,15 @@ def groups_of_pairs(pairs: DataFrame, a: str, b: str) -> DataFrame:
         hook = both.groupBy("n").agg(F.min("p").alias("p"))
         mate = hook.select(F.col("n").alias("_n"), F.col("p").alias("_p"))
         # of two that chose each other the lower is root; any other node goes on to where its choice points
-        tree = cut(hook.join(mate, F.col("p") == F.col("_n")).select("n", F.when(F.col("_p") == F.col("n"), F.least("n", "p")).otherwise(F.col("_p")).alias("p")))
+        tree, seen = cut(hook.join(mate, F.col("p") == F.col("_n")).select("n", F.when(F.col("_p") == F.col("n"), F.least("n", "p")).otherwise(F.col("_p")).alias("p")), **some)
+        # counted, so that pointers go to every executor only where they are few
+        pointers = F.broadcast if seen["rows"] <= BROADCAST_ROWS else (lambda df: df)
         moving = True
         while moving:
             hops = tree
             for k in (1, 2, 3):
                 up = tree.select(F.col("n").alias(f"_n{k}"), F.col("p").alias(f"p{k}"))
-                hops = hops.join(up, F.col("p" if k == 1 else f"p{k - 1}") == F.col(f"_n{k}"))
+                hops = hops.join(pointers(up), F.col("p" if k == 1 else f"p{k - 1}") == F.col(f"_n{k}"))
             tree, seen = cut(hops.select("n", "p2", F.col("p3").alias("p")), moved=F.col("p") != F.col("p2"))
             tree, moving = tree.select("n", "p"), seen["moved"] > 0
         root_u, root_v = tree.select(F.col("n").alias("u"), F.col("p").alias("ru")), tree.select(F.col("n").alias("v"), F.col("p").alias("rv"))
@@ -50,10 +55,10 @@ def groups_of_pairs(pairs: DataFrame, a: str, b: str) -> DataFrame:
             labels = tree.select(F.col("n").alias("node"), F.col("p").alias("group_id"))
         else:
             step = tree.select(F.col("n").alias("group_id"), F.col("p").alias("_root"))
-            labels = labels.join(step, "group_id", "left").select("node", F.coalesce("_root", "group_id").alias("group_id"))
+            labels = labels.join(pointers(step), "group_id", "left").select("node", F.coalesce("_root", "group_id").alias("group_id"))
         edges, left = cut(
-            edges.join(root_u, "u")
-            .join(root_v, "v")
+            edges.join(pointers(root_u), "u")
+            .join(pointers(root_v), "v")
             .filter("ru <> rv")
             .select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v"))
             .distinct(),
