@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from weftline.plans import ports
 from weftline.plans.ports import hashing_embedder, identity_canonicalizer, response_canonicalizer
 from weftline.sources import feeds
 from weftline.sources.store import TableStore
@@ -112,3 +113,36 @@ def test_ports(spark):
     assert [(r.key, r.title, r.category, len(r.tags)) for r in got] == [(1, "Will it?", "SPORTS", 8)]
     e = hashing_embedder(spark.createDataFrame([(1, "a b"), (2, "a b")], "event_id long, text string")).select(F.size("embedding").alias("n"), "embedding").collect()
     assert e[0].n == 64 and e[0].embedding == e[1].embedding
+
+
+def test_canonical_forms_come_from_cache_call_and_retry(spark):
+    t = spark.createDataFrame([(1, "a", ""), (2, "b", ""), (3, "c", "")], "key long, title string, category string")
+    cache = spark.createDataFrame([(1, "cached", "X", ["t"]), (9, "other", "X", [])], "key long, title string, category string, tags array<string>")
+    some = lambda df: identity_canonicalizer(df.filter("key < 3"))
+    done, new = ports.canonicalize(t, cache, some, identity_canonicalizer)
+    assert {(r.key, r.title) for r in done.collect()} == {(1, "cached"), (2, "b"), (3, "c")} and {r.key for r in new.collect()} == {2, 3}
+    with pytest.raises(RuntimeError):
+        ports.canonicalize(t, cache, some)
+
+
+def test_judge_prompt_and_cached_pairs(spark):
+    p = spark.createDataFrame([("k", "A", None, ["x", "y"], "B", "d", ["z"], 0.98765), ("m", "C", None, ["x"], "D", None, ["z"], 0.9)], "pair_key string, title_a string, description_a string, labels_a array<string>, title_b string, description_b string, labels_b array<string>, sim double")
+    text = ports.judge_prompt(p).filter("pair_key = 'k'").first().text
+    assert text == "Event A: A\n  Description: \n  Contracts: [1] x  [2] y\n\nEvent B: B\n  Description: d\n  Contracts: [1] z\n\nEmbedding similarity: 0.988"
+    hit, left = ports.split_cached(p, spark.createDataFrame([("k", "[]")], "pair_key string, items string"))
+    assert [r.pair_key for r in hit.collect()] == ["k"] and [r.pair_key for r in left.collect()] == ["m"]
+
+
+def test_notification(spark):
+    m = spark.createDataFrame([("new_events", i, f"e{i}") for i in range(22)] + [("new_events", 1, "e1"), ("resolved", 5, "e5"), ("security", 7, "x")], "type string, event_id long, event_name string")
+    got = {r.type: (r.head, r.body.splitlines()) for r in ports.notification(m).collect()}
+    assert got["resolved"] == ("1 event resolved", ["e5"]) and got["new_events"][0] == "22 new events" and got["new_events"][1][-1] == "... and 2 more" and len(got["new_events"][1]) == 21
+
+
+def test_sports_titles_and_look_back(spark):
+    rows = [("", "spreads", "-9.5", None, "E: Spread -9.5"), ("E", "totals", None, None, "E: Total"), ("", "player_points", "20", "Ann", "E: Ann Player_Points 20"), ("", "moneyline", None, None, None), ("own", "spreads", "1", None, None), ("", None, None, None, None)]
+    df = spark.createDataFrame([(q, k, ln, g) for q, k, ln, g, _ in rows], "question string, sportsMarketType string, line string, groupItemTitle string")
+    m = F.struct(*df.columns)
+    assert [r.t for r in df.select(feeds.sports_title(F.lit("E"), m).alias("t")).collect()] == [w for *_, w in rows]
+    e = spark.createDataFrame([("2026-01-01T00:00:00Z",), ("2026-02-20",), ("soon",), (None,)], "endDate string")
+    assert [r.endDate for r in feeds.closed_since(e, "endDate", "2026-03-01", 30).collect()] == ["2026-02-20"]

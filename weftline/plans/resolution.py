@@ -10,18 +10,20 @@ from pyspark.sql import functions as F
 
 from weftline.functions import scalars as S
 from weftline.operators import changes, entities, lifecycle, relations, reports, vectors
-from weftline.plans import pipeline
+from weftline.plans import pipeline, ports
 from weftline.session import table
 from weftline.sources import feeds
 
 LAST = "(SELECT max(snapshot_no) FROM contract_snapshot)"
 
 
-def _snap(spark: SparkSession, folder: str, back: int) -> DataFrame:
+FEED_COLUMNS = ("event_title", "outcome_label", "exchange_event_native_id", "event_volume", "ingest_pos")
+
+
+def _snap(spark: SparkSession, folder: str, back: int, cols: tuple[str, ...] = FEED_COLUMNS) -> DataFrame:
     """The last snapshot (or one ``back`` before it), one row per contract: its latest copy."""
     rows = table(spark, folder, "contract_snapshot").filter("exchange_id is not null and exchange_security_id is not null")
     now = rows.filter(F.col("snapshot_no") == table(spark, folder, "contract_snapshot").select(F.max("snapshot_no")).scalar() - back)
-    cols = ["event_title", "outcome_label", "exchange_event_native_id", "event_volume", "ingest_pos", "tick_size", "lot_size", "min_notional", "contract_multiplier", "received_at"]
     best = F.max_by(F.struct(*cols), F.struct("received_at", "ingest_pos")).alias("r")
     return now.groupBy("exchange_id", "exchange_security_id").agg(best).select("exchange_id", "exchange_security_id", *[F.col(f"r.{c}").alias(c) for c in cols])
 
@@ -292,7 +294,7 @@ def latest_spec(spark: SparkSession, folder: str) -> DataFrame:
 WHERE p.exchange_id IS NULL OR round(c.tick_size*1e9)::BIGINT IS DISTINCT FROM round(p.tick_size*1e9)::BIGINT OR round(c.lot_size*1e9)::BIGINT IS DISTINCT FROM round(p.lot_size*1e9)::BIGINT
   OR round(c.min_notional*1e9)::BIGINT IS DISTINCT FROM round(p.min_notional*1e9)::BIGINT OR round(c.contract_multiplier*1e9)::BIGINT IS DISTINCT FROM round(p.contract_multiplier*1e9)::BIGINT""")
 def spec_sync(spark: SparkSession, folder: str) -> DataFrame:
-    return entities.spec_changes(_snap(spark, folder, 0), _snap(spark, folder, 1), ["exchange_id", "exchange_security_id"], _SPECS)
+    return entities.spec_changes(_snap(spark, folder, 0, tuple(_SPECS)), _snap(spark, folder, 1, tuple(_SPECS)), ["exchange_id", "exchange_security_id"], _SPECS)
 
 
 @_query("""SELECT security_id_a, security_id_b, arg_max(relationship_type, struct_pack(c := confidence, i := -relationship_id)) AS relationship_type, max(confidence) AS confidence,
@@ -535,3 +537,19 @@ def entity_pipeline_counts(spark: SparkSession, folder: str) -> DataFrame:
 def semantic_candidates(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of stored events whose texts are close under the offline embedder."""
     return pipeline.candidate_pairs(table(spark, folder, "sm_event").select("event_id", "title", "description", "category"), pipeline.EngineConfig())
+
+
+@_query("""WITH c AS (SELECT event_id, title, description, category, (row_number() OVER (PARTITION BY 1 ORDER BY event_id) - 1) // 15 AS chunk, (row_number() OVER (ORDER BY event_id) - 1) % 15 + 1 AS place FROM sm_event WHERE title IS NOT NULL)
+SELECT chunk, string_agg(format('[{}] (key: {}) Title: {} | Description: {} | Category: {}', place, left(sha256(title), 6), title, left(coalesce(description, ''), 200), coalesce(category, '')), chr(10) ORDER BY place) AS text FROM c GROUP BY chunk""")
+def canonical_prompts(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests of 15 titles each; places come from ids counted per partition, so no task sees all titles."""
+    ev = table(spark, folder, "sm_event").filter("title is not null").select("event_id", "title", "description", "category")
+    numbered = entities.with_ids(ev, spark.createDataFrame([(0,)], "nr long"), "nr", ["event_id"])
+    return ports.canonical_prompt(numbered.select("title", "description", "category", F.floor((F.col("nr") - 1) / 15).alias("chunk"), ((F.col("nr") - 1) % 15 + 1).alias("place")))
+
+
+@_query("""WITH n AS (SELECT event_id FROM sm_event WHERE NOT coalesce(resolved, false) AND title IS NOT NULL AND event_id NOT IN (SELECT event_id FROM event_embedding WHERE embedding IS NOT NULL))
+SELECT (SELECT count(*) FROM event_embedding x WHERE x.event_id NOT IN (SELECT event_id FROM n)) + (SELECT count(*) FROM n) AS n_rows""")
+def embeddings_completed(spark: SparkSession, folder: str) -> DataFrame:
+    done = ports.embed_missing(table(spark, folder, "sm_event"), table(spark, folder, "event_embedding"))
+    return done.agg(F.count(F.lit(1)).alias("n_rows"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.functions.scalars import or_default
+from weftline.functions.scalars import or_default, parse_utc, title_case
 
 MARKET_A = "conditionId string, question string, description string, groupItemTitle string, negRisk boolean, closed boolean, sportsMarketType string, line string, outcomes string, clobTokenIds string, endDate string, volumeNum double, orderPriceMinTickSize double, orderMinSize double"
 EVENT_A = f"title string, slug string, endDate string, description string, tags array<struct<label:string,slug:string>>, markets array<struct<{', '.join(f'{a.split()[0]}:{a.split()[1]}' for a in MARKET_A.split(', '))}>>"
@@ -57,6 +57,20 @@ def _texts(c: Column) -> Column:
     return F.from_json(c, "array<string>", {"allowSingleQuotes": "false"})
 
 
+def sports_title(title: Column, m: Column) -> Column:
+    """Title of a sports market that its question does not tell apart from its event; null where the question does, or for moneylines."""
+    kind = F.coalesce(m["sportsMarketType"], F.lit(""))
+    own = F.coalesce(m["question"], F.lit(""))
+    player, stat = F.nullif(m["groupItemTitle"], F.lit("")), title_case(kind)
+    what = F.when(kind == "spreads", F.concat_ws(" ", F.lit("Spread"), m["line"])).when(kind == "totals", F.concat_ws(" ", F.lit("Total"), m["line"])).otherwise(F.concat_ws(" ", player, stat, m["line"]))
+    return F.when(((own == "") | (own == title)) & ~kind.isin("", "moneyline"), F.concat(title, F.lit(": "), what))
+
+
+def closed_since(events: DataFrame, end: str, as_of: str, days: int) -> DataFrame:
+    """Events that ended at most ``days`` before ``as_of``; unreadable ends are no ends."""
+    return events.filter(parse_utc(F.col(end)) >= F.lit(as_of).cast("timestamp") - F.make_dt_interval(F.lit(days)))
+
+
 def venue_a(events: DataFrame, exchange: int = 1) -> DataFrame:
     """One row per outcome, or, where all open markets of an event exclude each other, one row per market.
 
@@ -73,7 +87,7 @@ def venue_a(events: DataFrame, exchange: int = 1) -> DataFrame:
     multi = group.select(*_row(exchange, exchange_security_id=first, event_title=F.col("title"), outcome_label=F.coalesce(F.nullif("m.groupItemTitle", F.lit("")), "m.question"), exchange_event_native_id=F.col("slug"), event_description=F.col("description"), event_category=F.col("category"), event_expiry=F.coalesce("m.endDate", "endDate"), event_volume=F.col("sum_volume")))
     pairs = F.slice(F.arrays_zip(F.col("os").alias("o"), F.col("ts").alias("t")), F.lit(1), F.least(F.size("os"), F.size("ts")))
     single = m.filter("not one_of and os is not null").select("*", F.explode(pairs).alias("p"))
-    binary = single.select(*_row(exchange, exchange_security_id=F.concat_ws(":", "m.conditionId", "p.t"), event_title=F.coalesce(F.nullif("m.question", F.lit("")), "title"), outcome_label=F.col("p.o"), exchange_event_native_id=F.col("m.conditionId"), event_description=F.coalesce(F.nullif("m.description", F.lit("")), "description"), event_category=F.col("category"), event_expiry=F.coalesce(F.nullif("m.endDate", F.lit("")), "endDate"), event_volume=F.col("m.volumeNum")))
+    binary = single.select(*_row(exchange, exchange_security_id=F.concat_ws(":", "m.conditionId", "p.t"), event_title=F.coalesce(sports_title(F.col("title"), F.col("m")), F.nullif("m.question", F.lit("")), "title"), outcome_label=F.col("p.o"), exchange_event_native_id=F.col("m.conditionId"), event_description=F.coalesce(F.nullif("m.description", F.lit("")), "description"), event_category=F.col("category"), event_expiry=F.coalesce(F.nullif("m.endDate", F.lit("")), "endDate"), event_volume=F.col("m.volumeNum")))
     return multi.unionByName(binary)
 
 
