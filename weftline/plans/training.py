@@ -52,6 +52,16 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return split_packed(packed, ["feed_pos", "market_pos"], "source", ["outcomes", "clobTokenIds"])
 
 
+def _list_sql(j: str) -> str:
+    t = f"({j} ->> '$')"
+    inner = f"(CASE WHEN json_valid({t}) THEN json_type({t}) END)"
+    return f"""(CASE json_type({j}) WHEN 'ARRAY' THEN {j} WHEN 'OBJECT' THEN json_array({j})
+ WHEN 'VARCHAR' THEN CASE WHEN {inner} = 'ARRAY' THEN {t}::JSON WHEN {inner} = 'OBJECT' THEN json_array({t}::JSON) WHEN trim({t}) = '' THEN NULL ELSE json_array({j}) END
+ WHEN 'NULL' THEN NULL ELSE json_array({j}) END)"""
+def _each_sql(src: str, lst: str, cols: str) -> str:
+    return f"SELECT {cols}, i AS pos, json_extract(l, '$[' || i || ']') AS v FROM (SELECT *, unnest(range(coalesce(json_array_length(l), 0)::BIGINT)) AS i FROM (SELECT *, {lst} AS l FROM {src}))"
+
+
 QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p6_found": p6_found, "p6_market_table": p6_market_table, "p7_found": p7_found}
 
 ORACLES = {
@@ -74,5 +84,18 @@ SELECT coalesce(a.snapshot_no, g.snapshot_no) AS snapshot_no,
        CASE WHEN g.snapshot_no IS NULL THEN 'added' WHEN a.snapshot_no IS NULL THEN 'removed' ELSE 'changed' END AS change
 FROM added a FULL JOIN gone g ON a.snapshot_no = g.snapshot_no
  AND a.exchange_id IS NOT DISTINCT FROM g.exchange_id AND a.exchange_security_id IS NOT DISTINCT FROM g.exchange_security_id
+""",
+    "p6_found": f"""
+WITH b AS (SELECT page_id, body::JSON AS j FROM polymarket_pages WHERE json_valid(body)),
+w AS (SELECT page_id, coalesce(json_extract(j, '$.events'), json_extract(j, '$.data.events'), json_extract(j, '$.data'), j) AS j FROM b),
+e AS (SELECT page_id, pos AS event_pos, v AS e FROM ({_each_sql('w', _list_sql('j'), 'page_id')}) WHERE json_type(v) <> 'NULL'),
+m AS (SELECT page_id, event_pos, pos AS market_pos, v AS m FROM ({_each_sql('(SELECT *, json_extract(e, $$$.markets$$) AS q FROM e)', _list_sql('q'), 'page_id, event_pos')}) WHERE json_type(v) <> 'NULL'),
+t AS ({_each_sql('(SELECT *, json_extract(e, $$$.tags$$) AS q FROM e)', _list_sql('q'), 'page_id, event_pos')}),
+o AS ({_each_sql('(SELECT *, json_extract(m, $$$.outcomes$$) AS q FROM m)', _list_sql('q'), 'page_id, event_pos, market_pos')}),
+k AS ({_each_sql('(SELECT *, json_extract(m, $$$.clobTokenIds$$) AS q FROM m)', _list_sql('q'), 'page_id, event_pos, market_pos')}),
+r AS (SELECT page_id, event_pos, 'market' AS child, -1 AS market_pos, market_pos AS child_pos, m ->> '$.conditionId' AS child_value FROM m
+UNION ALL SELECT page_id, event_pos, 'tag', -1, pos, CASE json_type(v) WHEN 'OBJECT' THEN v ->> '$.label' ELSE v ->> '$' END FROM t
+UNION ALL SELECT page_id, event_pos, 'outcome', market_pos, pos, v ->> '$' FROM o UNION ALL SELECT page_id, event_pos, 'token', market_pos, pos, v ->> '$' FROM k)
+SELECT page_id, event_pos::INTEGER AS event_pos, child, market_pos::INTEGER AS market_pos, child_pos::INTEGER AS child_pos, child_value FROM r WHERE child_value IS NOT NULL
 """,
 }
