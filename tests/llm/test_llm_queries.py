@@ -10,7 +10,8 @@ def test_query_runs(name, spark, data):
     rows = df.collect()
     if name in queries.ORACLES:
         con = duckdb.connect()
-        con.execute(f"create view contract_relationship as select * from '{data}/contract_relationship.parquet'")
+        for t in ("contract_relationship", "event_embedding"):
+            con.execute(f"create view {t} as select * from '{data}/{t}.parquet'")
         assert sorted(map(tuple, rows)) == sorted(con.execute(queries.ORACLES[name]).fetchall())
 
 

@@ -103,5 +103,13 @@ WITH RECURSIVE e AS (
 s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 r AS (SELECT a AS node, a AS seen FROM s UNION SELECT r.node, s.b FROM r JOIN s ON r.seen = s.a)
 SELECT node AS security_id, min(seen) AS group_id FROM r GROUP BY node
+""",
+    "p3_found": r"""
+WITH v AS (SELECT event_id, embedding::DOUBLE[] AS e FROM event_embedding WHERE event_id IS NOT NULL
+           QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY embedded_at DESC NULLS LAST) = 1),
+u AS (SELECT event_id, e FROM v WHERE len(e) = 64 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+p AS (SELECT a.event_id AS q, b.event_id AS c, list_cosine_similarity(a.e, b.e) AS sim FROM u a JOIN u b ON a.event_id <> b.event_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY sim DESC, c) AS rk FROM p)
+SELECT DISTINCT least(q, c) AS event_id_a, greatest(q, c) AS event_id_b FROM r WHERE rk <= 10 AND sim >= 0.8
 """,
 }
