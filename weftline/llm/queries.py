@@ -51,7 +51,7 @@ def p5_pairs(spark: SparkSession, folder: str) -> DataFrame:
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """The matched contracts' ids, each pair once with the lower id first."""
     contracts = _contracts(spark, folder)
-    pairs = match_contracts(contracts).filter(F.col("confidence") >= 0.5)
+    pairs = match_contracts(contracts)
     member = copies(contracts)
     for side in ("a", "b"):
         own = member.select(F.col("exchange_id").alias(f"exchange_id_{side}"), F.col("head").alias(f"sid_{side}"), F.col("sid").alias(f"own_{side}"))
