@@ -31,6 +31,7 @@ def test_graph_finds_what_brute_force_finds():
 def test_shards_and_salting_keep_the_recall(spark, monkeypatch):
     monkeypatch.setattr(ann, "SHARD_ROWS", 60)
     monkeypatch.setattr(ann, "OVERFULL", 1)
+    monkeypatch.setattr(ann, "VISITORS", 150)
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(12, 8))
     x = (centres[np.minimum(rng.integers(0, 30, 600), 11)] + 0.2 * rng.normal(size=(600, 8))).astype(np.float32)

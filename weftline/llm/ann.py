@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -22,8 +22,9 @@ M0, M_UP, EF_BUILD, EF_SEARCH = 24, 12, 48, 64
 SHARD_ROWS, MAX_SHARDS, PROBES = 1500, 4096, 6
 #: Pivots are fitted on at most this many vectors; every vector is indexed.
 SAMPLE = 20_000
-#: A shard larger than this many times SHARD_ROWS (or the mean, if larger) is salted into several graphs, all of which its visitors search.
-OVERFULL = 4
+#: A shard larger than this many times SHARD_ROWS (or the mean, if larger, but at most GRAPH_ROWS) is salted into several graphs, all of
+#: which its visitors search; more than VISITORS rows at a shard are dealt to several tasks, each with the shard's graph.
+OVERFULL, GRAPH_ROWS, VISITORS = 4, 100_000, 200_000
 
 
 class Hnsw:
@@ -242,7 +243,7 @@ def most_similar(vectors: DataFrame, key: str, vec: str, k: int = 10, size: int
     shards = max(1, min(MAX_SHARDS, round(total / SHARD_ROWS), len(sample_x)))
     pivots = _pivots(sample_x, shards)
     probes = min(PROBES, shards)
-    full = max(OVERFULL * SHARD_ROWS, OVERFULL * total // shards)
+    full = max(OVERFULL * SHARD_ROWS, min(OVERFULL * total // shards, GRAPH_ROWS))
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -257,33 +258,40 @@ def most_similar(vectors: DataFrame, key: str, vec: str, k: int = 10, size: int
                 yield pd.DataFrame({"shard": near[:, p].astype(np.int32), "home": p == 0, "id": pdf["id"], "raw": packed})
 
     routed = heads.select(F.col("ids")[0].alias("id"), "v").mapInPandas(route, "shard int, home boolean, id bigint, raw binary")
-    # an overfull shard becomes several graphs; its members go to one each, its visitors to all
-    load = {r["shard"]: -(-r["n"] // full) for r in routed.filter("home").groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > full).collect()} if total > full else {}
-    if load:
-        parts = F.coalesce(F.try_element_at(F.create_map(*[F.lit(int(x)) for kv in load.items() for x in kv]), F.col("shard")), F.lit(1))
-    else:
-        parts = F.lit(1)
-    own = F.pmod(F.xxhash64("id"), parts).cast("int")
-    routed = routed.select("*", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part")).withColumn("home", F.col("home") & (F.col("part") == own))
+    # an overfull shard becomes several graphs: its members go to one each, its visitors to all; too many visitors are dealt out
+    loads = routed.groupBy("shard").agg(F.count_if("home").alias("n"), F.count(F.lit(1)).alias("v")).filter((F.col("n") > full) | (F.col("v") > VISITORS)).collect() if total > min(full, VISITORS) else []
+
+    def times(counts: dict[int, int]) -> Column:
+        if not counts:
+            return F.lit(1)
+        return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in counts.items() for x in kv]), F.col("shard")), F.lit(1))
+
+    parts, deals = times({r["shard"]: -(-r["n"] // full) for r in loads}), times({r["shard"]: -(-r["v"] // VISITORS) for r in loads})
+    numbers = lambda n: F.sequence(F.lit(0), n - 1)
+    placed = routed.withColumns({"own": F.pmod(F.xxhash64("id"), parts).cast("int"), "deal": F.pmod(F.xxhash64("id", F.lit(3)), deals).cast("int")})
+    placed = placed.select("*", F.explode(numbers(parts)).alias("part")).withColumn("home", F.col("home") & (F.col("part") == F.col("own")))
+    placed = placed.select("*", F.explode(F.when(F.col("home"), numbers(deals)).otherwise(F.array("deal"))).alias("task"))
+    placed = placed.select("shard", "part", "task", "home", (F.col("task") == F.col("deal")).alias("asks"), "id", "raw")
 
     def shard(pdf: pd.DataFrame) -> pd.DataFrame:
         ids = pdf["id"].to_numpy(np.int64)
-        home = pdf["home"].to_numpy(bool)
+        home, asks = pdf["home"].to_numpy(bool), pdf["asks"].to_numpy(bool)
         order = np.argsort(ids, kind="stable")
-        ids, home = ids[order], home[order]
+        ids, home, asks = ids[order], home[order], asks[order]
         raw = np.frombuffer(b"".join(pdf["raw"].to_numpy()[order]), dtype=np.float32).reshape(len(ids), size)
         empty = pd.DataFrame({"q": np.zeros(0, np.int64), "c": np.zeros(0, np.int64), "sim": np.zeros(0)})
-        if not home.any():
+        if not home.any() or not asks.any():
             return empty
         unit = _unit(raw)
         member, member_ids = unit[home], ids[home]
         graph = Hnsw(member)
-        found, _ = graph.search(unit, max(EF_SEARCH, k + 2))
+        found, _ = graph.search(unit[asks], max(EF_SEARCH, k + 2))
         exact = raw.astype(np.float64)
         exact /= np.abs(exact).max(axis=1, keepdims=True)
         exact /= np.sqrt((exact * exact).sum(axis=1, keepdims=True))
         out_q, out_c, out_s = [], [], []
         mine = exact[home]
+        exact, ids = exact[asks], ids[asks]
         for s in range(0, len(ids), 4096):
             f = found[s : s + 4096]
             sims = np.einsum("rcd,rd->rc", mine[np.maximum(f, 0)], exact[s : s + 4096])
@@ -296,7 +304,7 @@ def most_similar(vectors: DataFrame, key: str, vec: str, k: int = 10, size: int
             out_s.append(np.take_along_axis(sims, top, 1)[good])
         return pd.DataFrame({"q": np.concatenate(out_q), "c": np.concatenate(out_c), "sim": np.concatenate(out_s)})
 
-    found = routed.groupBy("shard", "part").applyInPandas(shard, "q bigint, c bigint, sim double")
+    found = placed.groupBy("shard", "part", "task").applyInPandas(shard, "q bigint, c bigint, sim double")
     order = Window.partitionBy("q").orderBy(F.desc("sim"), "c")
     merged = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank")
     # heads back to their copies: a neighbour stands for its copies, a query's answer goes to each of its own
