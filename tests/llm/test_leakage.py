@@ -42,6 +42,7 @@ def test_characters_where_no_spaces_are_written(spark):
 def test_nulls_empties_copies_and_long_texts(spark):
     text = " ".join(ITEM)
     docs = [(1, None), (2, ""), (None, text), (3, text), (3, text), (4, "filler " * 200_000 + text)]
+    assert found(spark, docs[3:4], [(1, "other " * 9), (1, text)]) == {(3, 1)}
     assert found(spark, docs, [(1, text), (2, None), (3, ""), (None, text), (4, "too short")]) == {(3, 1), (4, 1)}
     assert found(spark, [], [(1, text)]) == set() and found(spark, docs, []) == set()
 

@@ -30,6 +30,8 @@ SHARE, NEED, COVER = 0.47, 0.2, 0.3
 OTHER, EXTRA, MISSING = 1.0, 0.3, 0.6
 #: Items per pass over the corpus; their vocabulary is what goes to the executors.
 ITEM_BLOCK = 20_000
+#: Up to so many documents with candidates are broadcast as ids; more are joined by shuffle.
+BROADCAST_ROWS = 200_000
 
 _WORD = re.compile(r"[぀-ヿ㐀-鿿豈-﫿]|[^\W_぀-ヿ㐀-鿿豈-﫿]+")
 
@@ -105,23 +107,25 @@ def leaked_items(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item
     found = None
     for b in range(blocks):
         part = ids if blocks == 1 else ids.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b)
-        one = _leaked(docs, doc_id, text, {r["item"]: r["text"] for r in part.collect()}, spark)
+        one = _leaked(docs, doc_id, text, [(r["item"], r["text"]) for r in part.collect()], spark)
         found = one if found is None else found.unionByName(one)
     return found.select(F.col("doc").alias(doc_id), F.col("item").alias(item_id), "score")
 
 
-def _leaked(docs: DataFrame, doc_id: str, text: str, items: dict[int, str], spark) -> DataFrame:  # noqa: ANN001
+def _leaked(docs: DataFrame, doc_id: str, text: str, items: list[tuple[int, str]], spark) -> DataFrame:  # noqa: ANN001
+    names = [i for i, _ in items]  # inside, an item is its place in the list, so repeated ids stay apart
     vocabulary: dict[str, int] = {}
-    words = {i: np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(t)], dtype=np.int32) for i, t in items.items()}
+    words = {i: np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(t)], dtype=np.int32) for i, (_, t) in enumerate(items)}
     table = [(i, int(c), o, len(w)) for i, w in words.items() for o, c in enumerate(_codes(w).tolist())]
     codes = np.unique(np.array([c for _, c, _, _ in table], dtype=np.int64))
-    kind = np.uint16 if len(vocabulary) < 65_000 else np.uint32
-    gap = np.iinfo(kind).max
+    get = vocabulary.get
+
+    def numbered(text: str) -> np.ndarray:
+        return np.array([get(w, -1) for w in words_of(text)], dtype=np.int64)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        get = vocabulary.get
         for pdf in batches:
-            seqs = [np.array([get(w, -1) for w in words_of(t)], dtype=np.int64) for t in pdf["text"]]
+            seqs = [numbered(t) for t in pdf["text"]]
             if not seqs:
                 continue
             sizes = np.array([len(s) for s in seqs])
@@ -135,26 +139,18 @@ def _leaked(docs: DataFrame, doc_id: str, text: str, items: dict[int, str], spar
             nr = np.searchsorted(codes, at[place])
             nr[nr == len(codes)] = 0
             hit = codes[nr] == at[place] if len(codes) else np.zeros(0, dtype=bool)
-            place, value = place[hit], at[place][hit]
-            owner = np.searchsorted(starts, place, side="right") - 1
+            owner, value = np.searchsorted(starts, place[hit], side="right") - 1, at[place][hit]
             rows = np.unique(owner)
             if not len(rows):
                 continue
             lo, hi = np.searchsorted(owner, rows), np.searchsorted(owner, rows, side="right")
-            yield pd.DataFrame(
-                {
-                    "doc": pdf["doc"].to_numpy()[rows],
-                    "row": pdf["row"].to_numpy()[rows],
-                    "codes": [value[a:b] for a, b in zip(lo, hi, strict=True)],
-                    "pos": [(place[a:b] - starts[r]).astype(np.int32) for a, b, r in zip(lo, hi, rows, strict=True)],
-                    "words": [np.where(seqs[r] < 0, gap, seqs[r]).astype(kind).tobytes() for r in rows],
-                }
-            )
-
-    corpus = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).filter("doc is not null and text is not null").withColumn("row", F.monotonically_increasing_id())
-    hits = cut(corpus.mapInPandas(scan, "doc bigint, row bigint, codes array<bigint>, pos array<int>, words binary"))
+            shared = [np.unique(value[a:b]) for a, b in zip(lo, hi, strict=True)]
+            yield pd.DataFrame({"doc": pdf["doc"].to_numpy()[rows], "size": sizes[rows], "codes": shared})
+
+    corpus = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).filter("doc is not null and text is not null")
+    hits = cut(corpus.mapInPandas(scan, "doc bigint, size bigint, codes array<bigint>"))
     # rarity over all documents, then the prefix of each item: all but its most frequent shingles
-    df = hits.select(F.explode(F.array_distinct("codes")).alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("df"))
+    df = hits.select(F.explode("codes").alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("df"))
     own = spark.createDataFrame(pd.DataFrame(table, columns=["item", "code", "off", "n"]), "item bigint, code bigint, off int, n int")
     kinds = own.groupBy("item", "code", "n").agg(F.min("off").alias("off")).join(df, "code", "left").na.fill(0, ["df"])
     many = F.count(F.lit(1)).over(Window.partitionBy("item"))
@@ -163,17 +159,19 @@ def _leaked(docs: DataFrame, doc_id: str, text: str, items: dict[int, str], spar
     left_out = F.floor(need / 2)
     prefix = ranked.filter((F.col("rank") <= F.col("all") - left_out) & (F.col("df") > 0)).select("item", "code", "n", (need - left_out).alias("least"))
     # the join on prefix shingles; one row per document and item that meet
-    met = (
-        hits.select("doc", "row", F.explode(F.array_distinct("codes")).alias("code"), (F.octet_length("words") / np.dtype(kind).itemsize).alias("size"))
+    met, seen = cut(
+        hits.select("doc", "size", F.explode("codes").alias("code"))
         .join(small(prefix), "code")
         .filter(F.col("size") >= SHARE * F.col("n"))
-        .groupBy("doc", "row", "item")
+        .groupBy("doc", "item")
         .agg(F.count(F.lit(1)).alias("shared"), F.first("least").alias("least"))
         .filter(F.col("shared") >= F.col("least"))
-        .groupBy("doc", "row")
-        .agg(F.collect_set("item").alias("items"))
+        .groupBy("doc")
+        .agg(F.collect_set("item").alias("items")),
+        rows=F.lit(True),
     )
-    pairs = hits.join(met, ["doc", "row"])
+    # the documents that are left are read again: beside a broadcast where they are counted few, by shuffle beyond that
+    pairs = corpus.join(F.broadcast(met) if seen["rows"] <= BROADCAST_ROWS else met, "doc")
     offsets: dict[int, dict[int, list[int]]] = {}
     for i, c, o, _ in table:
         offsets.setdefault(i, {}).setdefault(c, []).append(o)
@@ -181,22 +179,19 @@ def _leaked(docs: DataFrame, doc_id: str, text: str, items: dict[int, str], spar
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for doc, near, codes_, pos, raw in zip(pdf["doc"], pdf["items"], pdf["codes"], pdf["pos"], pdf["words"], strict=True):
-                seq = np.frombuffer(raw, dtype=kind).astype(np.int64)
-                seq[seq == gap] = -1
+            for doc, near, text in zip(pdf["doc"], pdf["items"], pdf["text"], strict=True):
+                seq = numbered(text)
+                at = _codes(seq)
                 for item in near:
-                    place = offsets[item]
-                    p, o = [], []
-                    for c, x in zip(codes_, pos, strict=True):
-                        for y in place.get(c, ()):
-                            p.append(x)
-                            o.append(y)
-                    mine = words[item]
-                    score = 0.0
-                    for a, b, _ in _windows(np.array(p), np.array(o), len(mine)):
-                        score = max(score, align(mine, seq[max(a, 0) : b]))
+                    place, mine = offsets[item], words[item]
+                    meet = [(p, o) for p, c in enumerate(at.tolist()) if c >= 0 for o in place.get(c, ())]
+                    if not meet:
+                        continue
+                    pos, off = np.array(meet).T
+                    score = max((align(mine, seq[max(a, 0) : b]) for a, b, _ in _windows(pos, off, len(mine))), default=0.0)
                     if score >= SHARE:
-                        out.append((doc, item, score))
-            yield pd.DataFrame(out, columns=["doc", "item", "score"])
+                        out.append((doc, names[item], score))
+            if out:
+                yield pd.DataFrame(out, columns=["doc", "item", "score"])
 
-    return pairs.select("doc", "items", "codes", "pos", "words").mapInPandas(verify, "doc bigint, item bigint, score double")
+    return pairs.select("doc", "items", "text").mapInPandas(verify, "doc bigint, item bigint, score double")
