@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from weftline.session import cut
+
 M0, M_UP, EF_BUILD, EF_SEARCH = 24, 12, 48, 64
 #: Vectors per shard aimed at, most shards, and shards that each vector searches.
 SHARD_ROWS, MAX_SHARDS, PROBES = 1500, 4096, 6
@@ -228,13 +230,12 @@ def most_similar(vectors: DataFrame, key: str, vec: str, k: int = 10, size: int
     indexed once; each of them has the others as neighbours at similarity 1, lowest keys first,
     as all ties go by key. An empty table gives no rows.
     """
-    spark = vectors.sparkSession
     rows = usable(vectors.select(key, vec).filter(F.col(key).isNotNull()), vec, size).select(F.col(key).alias("id"), F.col(vec).cast("array<float>").alias("v"))
     rows = rows.withColumn("copy", F.xxhash64("v"))
     # copies: of each distinct vector the k + 1 lowest keys stand for all (the rank limit works before the shuffle)
     ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("copy", "v").orderBy("id"))).filter(F.col("rank") <= k + 1)
-    heads = ranked.groupBy("copy", "v").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-    total, = heads.agg(F.count(F.lit(1))).first()
+    heads, seen = cut(ranked.groupBy("copy", "v").agg(F.array_sort(F.collect_list("id")).alias("ids")), rows=F.lit(True), several=F.size("ids") > 1)
+    total = seen["rows"]
     if not total:
         return rows.select(F.col("id").alias("q"), F.col("id").alias("c"), F.lit(0.0).alias("sim")).limit(0)
     share = min(1.0, SAMPLE / total)
@@ -308,9 +309,9 @@ def most_similar(vectors: DataFrame, key: str, vec: str, k: int = 10, size: int
     order = Window.partitionBy("q").orderBy(F.desc("sim"), "c")
     merged = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank")
     # heads back to their copies: a neighbour stands for its copies, a query's answer goes to each of its own
-    several = heads.filter(F.size("ids") > 1).select(F.col("ids")[0].alias("head"), "ids", "copy", "v")
-    if several.isEmpty():
+    if not seen["several"]:
         return merged
+    several = heads.filter(F.size("ids") > 1).select(F.col("ids")[0].alias("head"), "ids", "copy", "v")
     other = merged.join(several.select(F.col("head").alias("c"), F.col("ids").alias("_cs")), "c", "left")
     other = other.select("q", F.explode(F.coalesce("_cs", F.array("c"))).alias("c"), "sim")
     every = rows.join(several.select("copy", "v", "head"), ["copy", "v"]).select(F.col("id").alias("_id"), F.col("head").alias("q"))
