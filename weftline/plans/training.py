@@ -58,6 +58,8 @@ def _list_sql(j: str) -> str:
     return f"""(CASE json_type({j}) WHEN 'ARRAY' THEN {j} WHEN 'OBJECT' THEN json_array({j})
  WHEN 'VARCHAR' THEN CASE WHEN {inner} = 'ARRAY' THEN {t}::JSON WHEN {inner} = 'OBJECT' THEN json_array({t}::JSON) WHEN trim({t}) = '' THEN NULL ELSE json_array({j}) END
  WHEN 'NULL' THEN NULL ELSE json_array({j}) END)"""
+
+
 def _each_sql(src: str, lst: str, cols: str) -> str:
     return f"SELECT {cols}, i AS pos, json_extract(l, '$[' || i || ']') AS v FROM (SELECT *, unnest(range(coalesce(json_array_length(l), 0)::BIGINT)) AS i FROM (SELECT *, {lst} AS l FROM {src}))"
 
