@@ -70,6 +70,12 @@ def test_viterbi_settles_what_no_declaration_settles(spark):
     assert got == {i: us(2026, int(t[:2]), int(t[3:5])) for i, t in enumerate(days)}
 
 
+def test_a_null_source_is_a_source(spark):
+    days = ["13/04/2026", "04/05/2026", "20/05/2026"]
+    got = run(spark, [(None, t, None, "UTC") for t in days])
+    assert got == {i: us(2026, int(t[3:5]), int(t[:2])) for i, t in enumerate(days)}
+
+
 def test_blocks_give_what_one_block_gives(spark, monkeypatch):
     data = [("a", f"{d:02d}/{m:02d}/2026", None, "UTC") for m in range(1, 13) for d in (m, 5, 12, 13, 28)]
     whole = run(spark, data)

@@ -180,30 +180,77 @@ def _step(prev: list, cur: list, costs: list[list[float]]) -> tuple[list[list[fl
     return out, back
 
 
+def _identity(n: int) -> list[list[float]]:
+    return [[0.0 if i == j else float("inf") for j in range(n)] for i in range(n)]
+
+
 def _block_transfer(pdf: pd.DataFrame) -> list[list[float]]:
     """Costs from each state of the block's first row to each of its last."""
     states = list(pdf["cands"])
-    costs = [[0.0 if i == j else float("inf") for j in range(len(states[0]))] for i in range(len(states[0]))]
+    costs = _identity(len(states[0]))
     for a, b in zip(states, states[1:], strict=False):
         costs, _ = _step(a, b, costs)
     return costs
 
 
+def _through(costs: list, matrix: list) -> tuple[list[list[float]], list[list[int]]]:
+    """Path costs carried through a block (min-plus product), with the state each came in by."""
+    out, by = [], []
+    for row in costs:
+        tries = [min((row[k] + matrix[k][j], k) for k in range(len(row))) for j in range(len(matrix[0]))]
+        out.append([v for v, _ in tries])
+        by.append([k for _, k in tries])
+    return out, by
+
+
+def _chain_transfer(firsts: list, lasts: list, matrices: list) -> list[list[float]]:
+    """The transfer of neighbouring blocks taken as one."""
+    costs = _identity(len(firsts[0]))
+    for i, m in enumerate(matrices):
+        costs, _ = _through(costs, m)
+        if i + 1 < len(firsts):
+            costs, _ = _step(lasts[i], firsts[i + 1], costs)
+    return costs
+
+
+def _chain_states(firsts: list, lasts: list, matrices: list, start: int | None = None, end: int | None = None) -> list[tuple[int, int]]:
+    """The states in which the cheapest path enters and leaves each of neighbouring blocks, its two ends given or free."""
+    costs = [[c["cost"] if start in (None, k) else float("inf") for k, c in enumerate(firsts[0])]]
+    came, moved = [], []
+    for i, m in enumerate(matrices):
+        costs, by = _through(costs, m)
+        came.append(by[0])
+        if i + 1 < len(firsts):
+            costs, back = _step(lasts[i], firsts[i + 1], costs)
+            moved.append(back[0])
+    state = end if end is not None else min(range(len(costs[0])), key=lambda j: costs[0][j])
+    out = []
+    for i in reversed(range(len(firsts))):
+        entry = came[i][state]
+        out.append((entry, state))
+        if i:
+            state = moved[i - 1][entry]
+    return out[::-1]
+
+
 def choose(df: DataFrame, source: Sequence[str], order: Sequence[str], cands: str) -> DataFrame:
     """``df`` with ``epoch_us`` in place of ``cands``: the readings on the cheapest path through each source.
 
     ``order[0]`` is a whole number that grows in record order; blocks are cut by it, so no task holds
-    more than ``BLOCK`` records and their parts. Only blocks with an open row are walked through.
+    more than ``BLOCK`` records and their parts, and as many blocks make a run, so none holds more than ``BLOCK`` blocks
+    either; of the runs there is one row each. Only blocks with an open row are walked through.
     """
-    rows = once(df.filter(F.size(cands) > 0), **{cands: prune(F.col(cands))}).withColumn("_b", F.coalesce(F.floor(F.col(order[0]) / BLOCK), F.lit(-1)))
-    keys = [*source, "_b"]
+    rows = once(df.filter(F.size(cands) > 0), **{cands: prune(F.col(cands))})
+    # the source as one key that is never null
+    rows = rows.withColumns({"_k": F.to_json(F.struct(*source)), "_b": F.coalesce(F.floor(F.col(order[0]) / BLOCK), F.lit(-1))})
+    keys = ["_k", "_b"]
     at = F.struct(*order)
     blocks = rows.groupBy(*keys).agg(F.max(F.size(cands)).alias("_open"), F.min_by(cands, at).alias("_first"), F.max_by(cands, at).alias("_last"))
     open_blocks = blocks.filter("_open > 1").select(*keys)
-    settled = rows.filter(F.size(cands) == 1).withColumn("epoch_us", F.col(cands)[0]["epoch_us"]).drop(cands, "_b")
+    settled = rows.filter(F.size(cands) == 1).withColumn("epoch_us", F.col(cands)[0]["epoch_us"]).drop(cands, *keys)
     walked = rows.join(open_blocks, keys, "left_semi")
     kinds = dict(df.dtypes)
-    key_ddl = ", ".join([*(f"{k} {kinds[k]}" for k in source), "_b bigint"])
+    key_ddl = "_k string, _b bigint"
 
     def transfer(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(list(order)).rename(columns={cands: "cands"})
@@ -211,39 +258,30 @@ def choose(df: DataFrame, source: Sequence[str], order: Sequence[str], cands: st
 
     matrices = walked.groupBy(*keys).applyInPandas(transfer, f"{key_ddl}, _m array<array<double>>")
     # one row per block from here: first and last states and, where open, the costs between them
-    chain = blocks.join(matrices, keys, "left").select(*keys, "_first", "_last", "_m")
+    chain = blocks.join(matrices, keys, "left").select(*keys, "_first", "_last", "_m", F.floor(F.col("_b") / BLOCK).alias("_r"))
 
-    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+    def parts(pdf: pd.DataFrame) -> tuple[list, list, list]:
+        return list(pdf["_first"]), list(pdf["_last"]), [m if m is not None else [[0.0]] for m in pdf["_m"]]
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_b")
-        firsts, lasts, ms = list(pdf["_first"]), list(pdf["_last"]), list(pdf["_m"])
-        entry = [[c["cost"] for c in firsts[0]]]
-        trail = []
-        for i in range(len(firsts)):
-            m = ms[i] if ms[i] is not None else [[0.0]]
-            ends, by_entry = [], []
-            for j in range(len(lasts[i])):
-                v, k = min((entry[0][k] + m[k][j], k) for k in range(len(firsts[i])))
-                ends.append(v)
-                by_entry.append(k)
-            back = None
-            if i + 1 < len(firsts):
-                nxt, b = _step(lasts[i], firsts[i + 1], [ends])
-                back = b[0]
-                entry = nxt
-            trail.append((by_entry, back, ends))
-        end = min(range(len(lasts[-1])), key=lambda j: trail[-1][2][j])
-        picks = []
-        for i in reversed(range(len(firsts))):
-            start = trail[i][0][end]
-            picks.append((start, end))
-            if i:
-                end = trail[i - 1][1][start]
-        picks.reverse()
-        out = pdf[keys].copy()
-        out["_in"], out["_out"] = [p[0] for p in picks], [p[1] for p in picks]
-        return out
+        firsts, lasts, ms = parts(pdf)
+        return pd.DataFrame([{"_k": pdf["_k"].iloc[0], "_r": pdf["_r"].iloc[0], "_first": firsts[0], "_last": lasts[-1], "_m": _chain_transfer(firsts, lasts, ms)}])
+
+    def link_runs(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_r")
+        states = _chain_states(*parts(pdf))
+        return pdf[["_k", "_r"]].assign(_rin=[a for a, _ in states], _rout=[b for _, b in states])
+
+    def link_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_b")
+        states = _chain_states(*parts(pdf), int(pdf["_rin"].iloc[0]), int(pdf["_rout"].iloc[0]))
+        return pdf[keys].assign(_in=[a for a, _ in states], _out=[b for _, b in states])
 
-    ends = chain.groupBy(*source).applyInPandas(link, f"{key_ddl}, _in int, _out int")
+    state = dict(rows.dtypes)[cands]
+    runs = chain.groupBy("_k", "_r").applyInPandas(run, f"_k string, _r bigint, _first {state}, _last {state}, _m array<array<double>>")
+    run_ends = runs.groupBy("_k").applyInPandas(link_runs, f"_k string, _r bigint, _rin int, _rout int")
+    ends = chain.join(run_ends, ["_k", "_r"]).groupBy("_k", "_r").applyInPandas(link_blocks, f"{key_ddl}, _in int, _out int")
     plain = [c for c in df.columns if c != cands]
     out_ddl = ", ".join([*(f"`{c}` {kinds[c]}" for c in plain), "_n int", "epoch_us bigint"])
 
