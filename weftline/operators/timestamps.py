@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.session import once
+from weftline.session import cut, once
 
 VIOLATION, SWITCH, BACK = 100.0, 1.0, 0.5
 #: Records per block of the Viterbi pass; blocks are joined through their boundary states.
@@ -242,7 +242,7 @@ def choose(df: DataFrame, source: Sequence[str], order: Sequence[str], cands: st
     """
     rows = once(df.filter(F.size(cands) > 0), **{cands: prune(F.col(cands))})
     # the source as one key that is never null
-    rows = rows.withColumns({"_k": F.to_json(F.struct(*source)), "_b": F.coalesce(F.floor(F.col(order[0]) / BLOCK), F.lit(-1))})
+    rows = cut(rows.withColumns({"_k": F.to_json(F.struct(*source)), "_b": F.coalesce(F.floor(F.col(order[0]) / BLOCK), F.lit(-1))}))
     keys = ["_k", "_b"]
     at = F.struct(*order)
     blocks = rows.groupBy(*keys).agg(F.max(F.size(cands)).alias("_open"), F.min_by(cands, at).alias("_first"), F.max_by(cands, at).alias("_last"))
