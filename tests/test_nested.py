@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.operators.nested import FEED, Edge, Graph, feed_children, flatten, graph_of, shared_inlining, unwrap_page
+from weftline.plans import training
 
 
 def children(spark, bodies):
@@ -53,3 +54,22 @@ def test_graph_of_a_schema():
     s = T.StructType().add("id", "long").add("o", T.StructType().add("p", "string")).add("l", T.ArrayType(T.StructType().add("q", "integer")))
     tables = [(r.element, dict(r.columns)) for r in shared_inlining(graph_of(s, "d"))]
     assert tables == [("d", {"id": "id", "p": "o.p"}), ("d.l", {"q": "q"})]
+
+
+def page_rows(spark, folder, bodies):
+    spark.createDataFrame(list(enumerate(bodies)), "page_id long, body string").write.mode("overwrite").parquet(f"{folder}/polymarket_pages.parquet")
+    return sorted(map(tuple, training.p6_found(spark, folder).collect()))
+
+
+def test_query_takes_its_rows_from_the_inlined_tables(spark, tmp_path, monkeypatch):
+    bodies = [json.dumps(x) for x in ([EVENT], {"data": {"events": [None, EVENT]}}, EVENT, {"events": json.dumps([EVENT])}, {"events": [{"markets": ["bare", 5], "tags": [7, ["x"]]}]})]
+    bodies += [None, "{", "[]", "null"]
+    assert page_rows(spark, tmp_path, bodies) == children(spark, bodies)
+    slugs = Graph("page", [Edge("tag", "tag.label", "slug") if e.child == "tag.label" else e for e in FEED.edges if e.child != "tag.slug"])
+    monkeypatch.setattr(training, "FEED", slugs)
+    event = {"tags": [{"label": "A", "slug": "a"}, "B"]}
+    assert page_rows(spark, tmp_path, [json.dumps(event)]) == [(0, 0, "tag", -1, 0, "a")]
+
+
+def test_bare_labels_may_look_like_json(spark, tmp_path):
+    assert page_rows(spark, tmp_path, [json.dumps({"tags": ["{odd", "[odd", {"slug": "s"}]})]) == [(0, 0, "tag", -1, 0, "{odd"), (0, 0, "tag", -1, 1, "[odd")]

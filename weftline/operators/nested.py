@@ -18,12 +18,13 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class Edge:
-    """``child`` hangs under ``parent`` at JSON field ``at`` (empty: the value itself)."""
+    """``child`` hangs under ``parent`` at JSON field ``at`` (empty: the value itself). ``bare``: a scalar or list in place of the parent is this child's value."""
 
     parent: str
     child: str
     at: str
     many: bool = False
+    bare: bool = False
 
 
 @dataclass
@@ -59,6 +60,7 @@ class Relation:
     element: str
     path: tuple[Edge, ...]
     columns: tuple[tuple[str, str], ...]
+    bare: frozenset[str] = frozenset()
 
 
 def shared_inlining(graph: Graph) -> list[Relation]:
@@ -88,6 +90,7 @@ def shared_inlining(graph: Graph) -> list[Relation]:
 
     def build(name: str, path: tuple[Edge, ...]) -> None:
         columns: list[tuple[str, str]] = []
+        bare: set[str] = set()
         below: list[tuple[Edge, ...]] = []
 
         def inline(at: str, prefix: str) -> None:
@@ -100,9 +103,11 @@ def shared_inlining(graph: Graph) -> list[Relation]:
                     inline(e.child, place)
                 else:
                     columns.append((e.child.rsplit(".", 1)[-1], place))
+                    if e.bare:
+                        bare.add(place)
 
         inline(name, "")
-        found.append(Relation(name, path, tuple(columns)))
+        found.append(Relation(name, path, tuple(columns), frozenset(bare)))
         for p in below:
             build(p[-1].child, p)
 
@@ -143,8 +148,8 @@ def flatten(df: DataFrame, keys: Sequence[str], doc: str, graph: Graph, unwrap:
 
     ``doc`` is a variant column. Each table has ``keys``, one ``<element>_pos`` per level from
     the root (position in its list, from 0; null elements give no row but keep their
-    position) and the inlined columns as text; a bare scalar in place of an object is the value of the
-    first column. ``unwrap`` gives the list under the root where envelopes around it differ.
+    position) and the inlined columns as text; what stands bare in place of an object is the value of the
+    column whose edge is marked ``bare``. ``unwrap`` gives the list under the root where envelopes around it differ.
     Null or unparsable documents give no rows; other columns of ``df`` are never read.
     """
     tables: dict[str, DataFrame] = {}
@@ -154,8 +159,9 @@ def flatten(df: DataFrame, keys: Sequence[str], doc: str, graph: Graph, unwrap:
             pos = f"{e.child.rsplit('.', 1)[-1]}_pos"
             rows = rows.select(*keys, *at, F.posexplode(unwrap(F.col("_v")) if unwrap and e.parent == graph.root else as_list(get(F.col("_v"), e.at))).alias(pos, "_v")).filter(occurs(F.col("_v")))
             at.append(pos)
-        bare = F.when(~text(F.col("_v")).rlike(r"^\s*[\[{]"), text(F.col("_v")))
-        tables[rel.element] = rows.select(*keys, *at, *[(F.coalesce(text(get(F.col("_v"), place)), bare) if i == 0 and place else text(get(F.col("_v"), place))).alias(c) for i, (c, place) in enumerate(rel.columns)])
+        bare = F.when(F.try_variant_get(F.col("_v"), "$", "map<string,variant>").isNull(), text(F.col("_v")))
+        values = {place: text(get(F.col("_v"), place)) for _, place in rel.columns}
+        tables[rel.element] = rows.select(*keys, *at, *[(F.coalesce(values[place], bare) if place in rel.bare else values[place]).alias(c) for c, place in rel.columns])
     return tables
 
 
@@ -172,7 +178,7 @@ FEED = Graph(
         Edge("market", "token", "clobTokenIds", many=True),
         Edge("token", "token.value", ""),
         Edge("event", "tag", "tags", many=True),
-        Edge("tag", "tag.label", "label"),
+        Edge("tag", "tag.label", "label", bare=True),
         Edge("tag", "tag.slug", "slug"),
     ],
 )
@@ -184,10 +190,25 @@ def unwrap_page(v: Column) -> Column:
     return as_list(F.coalesce(inner, v))
 
 
+def child_rows(tables: dict[str, DataFrame], keys: Sequence[str], values: dict[str, str]) -> DataFrame:
+    """Rows ``(*keys, event_pos, child, market_pos, child_pos, child_value)``: tables of ``flatten`` over ``FEED`` in one tall form.
+
+    ``values`` names the column of each child table that gives ``child_value``; null values give no row.
+    A child that hangs under no market has ``market_pos`` -1.
+    """
+    found = None
+    for child, value in values.items():
+        t = tables[child]
+        parent = F.col("market_pos") if child != "market" and "market_pos" in t.columns else F.lit(-1)
+        rows = t.select(*keys, "event_pos", F.lit(child).alias("child"), parent.alias("market_pos"), F.col(f"{child}_pos").alias("child_pos"), F.col(value).alias("child_value"))
+        found = rows if found is None else found.unionByName(rows)
+    return found.filter(F.col("child_value").isNotNull())
+
+
 def feed_children(pages: DataFrame, key: str, body: str) -> DataFrame:
     """Rows ``(key, event_pos, child, market_pos, child_pos, child_value)`` of every market, tag, outcome and token.
 
-    The child tables of ``FEED`` in one tall form, made in one pass over the bodies. A body that is
+    A plain traversal with fixed paths that the tests hold ``child_rows`` against; no query uses it. A body that is
     null or not valid JSON gives none; a null element or label gives no row but keeps its position.
     """
     page = pages.select(key, F.try_parse_json(F.col(body)).alias("_v")).filter(occurs(F.col("_v")))

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.operators.nested import FEED, feed_children, flatten, unwrap_page
+from weftline.operators.nested import FEED, child_rows, flatten, unwrap_page
 from weftline.operators.packed import split_packed
 from weftline.operators.snapshots import snapshot_changes
 from weftline.operators.timestamps import normalise_instants
-from weftline.session import small, table
+from weftline.session import once, small, table
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -36,7 +36,9 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Markets, tags, outcomes and tokens of the raw pages with their parents' positions."""
-    return feed_children(table(spark, folder, "polymarket_pages"), "page_id", "body")
+    pages = once(table(spark, folder, "polymarket_pages").select("page_id", "body"), doc=F.try_parse_json("body"))
+    tables = flatten(pages, ["page_id"], "doc", FEED, unwrap_page)
+    return child_rows(tables, ["page_id"], {"market": "conditionId", "tag": "label", "outcome": "value", "token": "value"})
 
 
 def p6_market_table(spark: SparkSession, folder: str) -> DataFrame:
