@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from weftline.llm.leakage import align, leaked_items, words_of
+from weftline.llm.leakage import COVER, SHINGLE, align, common, leaked_items, least_places, words_of
 
 random.seed(9)
 VOCABULARY = [f"{a}{b}{c}" for a in ("ka", "lo", "mi", "nu") for b in ("ser", "tan", "vel", "dor", "pim") for c in ("a", "et", "ion", "us")]
@@ -52,3 +52,27 @@ def test_alignment():
     assert abs(align(a, a) - 1) < 1e-9 and align(a, np.arange(100, 140)) == 0.0
     assert align(a, np.concatenate([a[:20], np.full(6, -1), a[20:]])) > 0.9
     assert words_of("Da-\nmals, IST 3x") == ["damals", "ist", "3x"]
+
+
+def test_a_whole_passage_with_dense_scattered_edits(spark):
+    item = [f"w{i}" for i in range(100)]
+    edited = ["changed" if k % 16 in (4, 9, 15) else w for k, w in enumerate(item)]  # runs of 4, 4 and 5
+    docs = [(1, " ".join(NOISE[:90] + edited + NOISE[90:120])), (2, " ".join(NOISE[:60] + item[:20] + NOISE[60:150]))]
+    assert found(spark, docs, [(1, " ".join(item))]) == {(1, 1)}
+
+
+def test_frequent_shingles_left_out_of_the_prefix_lose_nothing(spark):
+    item = [f"w{i}" for i in range(104)]
+    runs = [item[26 * k : 26 * k + 5] for k in range(4)]  # only these four shingles are shared, and they are frequent
+    edited = ["changed" if k % 26 in (5, 10, 15, 20, 25) else w for k, w in enumerate(item)]
+    docs = [(1, " ".join(edited))] + [(i, " ".join(NOISE[:60] + runs[i % 4] + runs[(i + 1) % 4])) for i in range(2, 30)]
+    assert found(spark, docs, [(1, " ".join(item))]) == {(1, 1)}
+
+
+def test_bounds():
+    assert all(SHINGLE * (least_places(n) - 1) < COVER * n for n in range(6, 500)) and least_places(5) == 1
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        a, b = rng.integers(0, 12, 30), rng.integers(-1, 12, 50)
+        assert align(a, b) * len(a) <= common(a.tolist(), b.tolist()) + 1e-9
+    assert common([1, 2, 3, 4], [9, 1, 3, 3, 4, 2]) == 3

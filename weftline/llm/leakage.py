@@ -1,16 +1,18 @@
 """Evaluation passages in training text: a prefix-filtered set join on shingles, verified on the words themselves.
 
-Shingles are five words (five characters in scripts without spaces). A document that holds half of an item in
-one stretch, with a word changed in every eight, still shares a fifth of its shingles (``NEED``). An item's
-prefix, in order of rarity over the corpus, leaves out its most frequent shingles, half as many as must be shared; so
-the other half must be met in the prefix. Pairs that meet often enough go
+Shingles are five words (five characters in scripts without spaces). The shingles that a document shares with an
+item must cover ``COVER`` of the item's words within one window; as a place covers five words at most, so many places must
+be shared (``least_places``). An item's prefix, in order of rarity over the corpus, leaves out its most frequent shingles, up to half of
+these places; so the other half must be met in the prefix, and no pair that fulfils ``COVER`` is missed. Pairs that meet often enough go
 through the length bound (the document can hold the stretch) and the positional bound (the shingles
 they share lie, in the item's order, within windows of the item's size and cover enough of it); what is left
-is verified by local alignment of the words in these windows.
+is verified by local alignment of the words in these windows, where the longest common subsequence, which
+bounds the alignment from above, allows it. A stretch whose unbroken runs of five words and more cover less than ``COVER`` of the item is not found.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -24,8 +26,8 @@ from pyspark.sql.window import Window
 from weftline.session import cut, small
 
 SHINGLE = 5
-#: Least alignment score, share of the item's shingles that must be shared, and share of its words that shared shingles must cover.
-SHARE, NEED, COVER = 0.47, 0.2, 0.3
+#: Least alignment score, and share of the item's words that shared shingles must cover.
+SHARE, COVER = 0.47, 0.18
 #: Alignment: a match counts 1; costs of another word, of a word too many (page headers, numbers) and of a word missing.
 OTHER, EXTRA, MISSING = 1.0, 0.3, 0.6
 #: Items per pass over the corpus; their vocabulary is what goes to the executors.
@@ -62,6 +64,33 @@ def _codes(ids: np.ndarray) -> np.ndarray:
     return np.where(known, (code >> np.uint64(1)).astype(np.int64), -1)
 
 
+def least_places(n: int) -> int:
+    """Of how many places of an item of ``n`` words the shingles must be shared at least to cover ``COVER`` of it."""
+    return max(1, math.ceil(COVER * n / SHINGLE - 1e-9))
+
+
+def common(item: list[int], doc: list[int], masks: dict[int, int] | None = None) -> int:
+    """Length of the longest common subsequence, by bits; no alignment matches more words."""
+    if masks is None:
+        masks = word_masks(item)
+    full = (1 << len(item)) - 1
+    v = full
+    for w in doc:
+        m = masks.get(w)
+        if m:
+            u = v & m
+            v = ((v + u) | (v - u)) & full
+    return len(item) - v.bit_count()
+
+
+def word_masks(item: list[int]) -> dict[int, int]:
+    """For each word of an item the bits of its places."""
+    masks: dict[int, int] = {}
+    for i, w in enumerate(item):
+        masks[w] = masks.get(w, 0) | 1 << i
+    return masks
+
+
 def align(item: np.ndarray, doc: np.ndarray) -> float:
     """Best local alignment score of two word sequences, as a share of the item's length."""
     if not len(item) or not len(doc):
@@ -116,8 +145,8 @@ def _leaked(docs: DataFrame, doc_id: str, text: str, items: list[tuple[int, str]
     names = [i for i, _ in items]  # inside, an item is its place in the list, so repeated ids stay apart
     vocabulary: dict[str, int] = {}
     words = {i: np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(t)], dtype=np.int32) for i, (_, t) in enumerate(items)}
-    table = [(i, int(c), o, len(w)) for i, w in words.items() for o, c in enumerate(_codes(w).tolist())]
-    codes = np.unique(np.array([c for _, c, _, _ in table], dtype=np.int64))
+    table = [(i, int(c), o, len(w), least_places(len(w))) for i, w in words.items() for o, c in enumerate(_codes(w).tolist())]
+    codes = np.unique(np.array([c for _, c, *_ in table], dtype=np.int64))
     get = vocabulary.get
 
     def numbered(text: str) -> np.ndarray:
@@ -151,20 +180,19 @@ def _leaked(docs: DataFrame, doc_id: str, text: str, items: list[tuple[int, str]
     hits = cut(corpus.mapInPandas(scan, "doc bigint, size bigint, codes array<bigint>"))
     # rarity over all documents, then the prefix of each item: all but its most frequent shingles
     df = hits.select(F.explode("codes").alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("df"))
-    own = spark.createDataFrame(pd.DataFrame(table, columns=["item", "code", "off", "n"]), "item bigint, code bigint, off int, n int")
-    kinds = own.groupBy("item", "code", "n").agg(F.min("off").alias("off")).join(df, "code", "left").na.fill(0, ["df"])
-    many = F.count(F.lit(1)).over(Window.partitionBy("item"))
-    ranked = kinds.withColumn("rank", F.row_number().over(Window.partitionBy("item").orderBy("df", "code"))).withColumn("all", many)
-    need = F.greatest(F.lit(1), F.ceil(NEED * F.col("all")))
-    left_out = F.floor(need / 2)
-    prefix = ranked.filter((F.col("rank") <= F.col("all") - left_out) & (F.col("df") > 0)).select("item", "code", "n", (need - left_out).alias("least"))
+    own = spark.createDataFrame(pd.DataFrame(table, columns=["item", "code", "off", "n", "need"]), "item bigint, code bigint, off int, n int, need int")
+    kinds = own.groupBy("item", "code", "n", "need").agg(F.count(F.lit(1)).alias("places")).join(df, "code", "left").na.fill(0, ["df"])
+    behind = Window.partitionBy("item").orderBy(F.desc("df"), F.desc("code")).rowsBetween(Window.unboundedPreceding, 0)
+    left_out = F.floor(F.col("need") / 2)
+    ranked = kinds.withColumn("behind", F.sum("places").over(behind))
+    prefix = ranked.filter((F.col("behind") > left_out) & (F.col("df") > 0)).select("item", "code", "n", "places", (F.col("need") - left_out).alias("least"))
     # the join on prefix shingles; one row per document and item that meet
     met, seen = cut(
         hits.select("doc", "size", F.explode("codes").alias("code"))
         .join(small(prefix), "code")
         .filter(F.col("size") >= SHARE * F.col("n"))
         .groupBy("doc", "item")
-        .agg(F.count(F.lit(1)).alias("shared"), F.first("least").alias("least"))
+        .agg(F.sum("places").alias("shared"), F.first("least").alias("least"))
         .filter(F.col("shared") >= F.col("least"))
         .groupBy("doc")
         .agg(F.collect_set("item").alias("items")),
@@ -172,23 +200,50 @@ def _leaked(docs: DataFrame, doc_id: str, text: str, items: list[tuple[int, str]
     )
     # the documents that are left are read again: beside a broadcast where they are counted few, by shuffle beyond that
     pairs = corpus.join(F.broadcast(met) if seen["rows"] <= BROADCAST_ROWS else met, "doc")
-    offsets: dict[int, dict[int, list[int]]] = {}
-    for i, c, o, _ in table:
-        offsets.setdefault(i, {}).setdefault(c, []).append(o)
+    # items and places of every shingle, behind each other in the order of ``codes``
+    by_code = sorted((c, i, o) for i, c, o, *_ in table)
+    owner, offset = (np.array([row[k] for row in by_code], dtype=np.int64) for k in (1, 2))
+    first = np.searchsorted(np.array([c for c, *_ in by_code], dtype=np.int64), np.append(codes, np.iinfo(np.int64).max))
+    length = np.array([len(words[i]) for i in range(len(items))], dtype=np.int64)
+
+    def meetings(at: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Item, place in the document and place in the item wherever a near item's shingle stands, in the order of items."""
+        place = np.flatnonzero(at >= 0)
+        nr = np.searchsorted(codes, at[place])
+        nr[nr == len(codes)] = 0
+        hit = codes[nr] == at[place]
+        place, nr = place[hit], nr[hit]
+        times = first[nr + 1] - first[nr]
+        entry = np.repeat(first[nr] - np.cumsum(times) + times, times) + np.arange(times.sum())
+        pos, mine = np.repeat(place, times), owner[entry]
+        # places too few to cover enough, even if no two of them overlap, need no windows
+        enough = np.zeros(len(items), dtype=bool)
+        enough[near] = True
+        enough &= SHINGLE * np.bincount(mine, minlength=len(items)) >= COVER * length
+        keep = enough[mine]
+        order = np.argsort(mine[keep], kind="stable")
+        return mine[keep][order], pos[keep][order], offset[entry][keep][order]
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        masks: dict[int, dict[int, int]] = {}
         for pdf in batches:
             out = []
             for doc, near, text in zip(pdf["doc"], pdf["items"], pdf["text"], strict=True):
                 seq = numbered(text)
-                at = _codes(seq)
-                for item in near:
-                    place, mine = offsets[item], words[item]
-                    meet = [(p, o) for p, c in enumerate(at.tolist()) if c >= 0 for o in place.get(c, ())]
-                    if not meet:
+                mine, pos, off = meetings(_codes(seq), np.asarray(near, dtype=np.int64))
+                cuts = np.flatnonzero(np.diff(mine)) + 1
+                for lo, hi in zip([0, *cuts], [*cuts, len(mine)], strict=True):
+                    if lo == hi:
                         continue
-                    pos, off = np.array(meet).T
-                    score = max((align(mine, seq[max(a, 0) : b]) for a, b, _ in _windows(pos, off, len(mine))), default=0.0)
+                    item = int(mine[lo])
+                    word = words[item]
+                    least, score = SHARE * len(word) - 1e-9, 0.0
+                    for a, b, _ in _windows(pos[lo:hi], off[lo:hi], len(word)):
+                        if item not in masks:
+                            masks[item] = word_masks(word.tolist())
+                        window = seq[max(a, 0) : b]
+                        if common(word, window.tolist(), masks[item]) >= least:
+                            score = max(score, align(word, window))
                     if score >= SHARE:
                         out.append((doc, names[item], score))
             if out:
