@@ -76,3 +76,10 @@ def test_bounds():
         a, b = rng.integers(0, 12, 30), rng.integers(-1, 12, 50)
         assert align(a, b) * len(a) <= common(a.tolist(), b.tolist()) + 1e-9
     assert common([1, 2, 3, 4], [9, 1, 3, 3, 4, 2]) == 3
+
+
+def test_half_of_the_words_stand_whatever_the_edits_cost(spark):
+    item = [f"w{i}" for i in range(100)]
+    part = ["changed" if k % 9 == 8 else w for k, w in enumerate(item[20:78])]  # 52 words stand, the score is 0.46
+    docs = [(1, " ".join(NOISE[:90] + part + NOISE[90:120])), (2, " ".join(NOISE[:60] + item[20:64] + NOISE[60:150]))]
+    assert found(spark, docs, [(1, " ".join(item))]) == {(1, 1)}

@@ -7,7 +7,8 @@ these places; so the other half must be met in the prefix, and no pair that fulf
 through the length bound (the document can hold the stretch) and the positional bound (the shingles
 they share lie, in the item's order, within windows of the item's size and cover enough of it); what is left
 is verified by local alignment of the words in these windows, where the longest common subsequence, which
-bounds the alignment from above, allows it. A stretch whose unbroken runs of five words and more cover less than ``COVER`` of the item is not found.
+bounds the alignment from above, allows it. The alignment finds the best stretch; it counts where ``HALF`` of the item's words
+stand in it with small edits only (``EDITS``: general phrases strung together cost more), or where its score is ``SHARE``. A stretch whose unbroken runs of five words and more cover less than ``COVER`` of the item is not found.
 """
 
 from __future__ import annotations
@@ -26,8 +27,10 @@ from pyspark.sql.window import Window
 from weftline.session import cut, small
 
 SHINGLE = 5
-#: Least alignment score, and share of the item's words that shared shingles must cover.
-SHARE, COVER = 0.47, 0.18
+#: Least alignment score or share of the item's words that stand in the best stretch, and share of them that shared shingles must cover.
+SHARE, HALF, COVER = 0.47, 0.5, 0.18
+#: Small edits cost at most this share of the words that match: one word in five replaced.
+EDITS = 0.25
 #: Alignment: a match counts 1; costs of another word, of a word too many (page headers, numbers) and of a word missing.
 OTHER, EXTRA, MISSING = 1.0, 0.3, 0.6
 #: Items per pass over the corpus; their vocabulary is what goes to the executors.
@@ -91,35 +94,47 @@ def word_masks(item: list[int]) -> dict[int, int]:
     return masks
 
 
-def align(item: np.ndarray, doc: np.ndarray) -> float:
-    """Best local alignment score of two word sequences, as a share of the item's length."""
+def stretch(item: np.ndarray, doc: np.ndarray) -> tuple[float, float]:
+    """Best local alignment of two word sequences: its score and how many words match in it, as shares of the item's length; of equal scores the one that matches more."""
     if not len(item) or not len(doc):
-        return 0.0
-    steps = np.arange(len(doc) + 1) * EXTRA
-    row = np.zeros(len(doc) + 1)
-    best = 0.0
+        return 0.0, 0.0
+    # scores are whole tenths above the bits that count the matches
+    unit = 1 << 24
+    match, other, extra, missing = 10 * unit + 1, *(-round(10 * c) * unit for c in (OTHER, EXTRA, MISSING))
+    steps = np.arange(len(doc) + 1) * -extra
+    row, new, lost = (np.zeros(len(doc) + 1, dtype=np.int64) for _ in range(3))
+    best = 0
     for w in item:
-        new = np.zeros(len(doc) + 1)
-        new[1:] = np.maximum(row[:-1] + np.where(doc == w, 1.0, -OTHER), 0.0)
-        new = np.maximum(new, row - MISSING)
-        new = np.maximum.accumulate(new + steps) - steps
-        row = np.maximum(new, 0.0)
-        best = max(best, float(row.max()))
-    return best / len(item)
+        np.add(row[:-1], np.where(doc == w, match, other), out=new[1:])
+        new[0] = 0
+        np.maximum(new, np.add(row, missing, out=lost), out=new)
+        new += steps
+        np.maximum.accumulate(new, out=new)
+        new -= steps
+        np.maximum(new, 0, out=new)
+        best = max(best, int(new.max()))
+        row, new = new, row
+    return best // unit / 10 / len(item), best % unit / len(item)
+
+
+def align(item: np.ndarray, doc: np.ndarray) -> float:
+    """Best local alignment score of two word sequences, as a share of the item's length."""
+    return stretch(item, doc)[0]
 
 
 def _windows(pos: np.ndarray, off: np.ndarray, n: int) -> list[tuple[int, int, int]]:
     """Item-sized windows (start, end, words covered) around groups of shared shingles that lie in the item's order."""
-    order = np.argsort(pos - off, kind="stable")
-    pos, off = pos[order], off[order]
-    diag = pos - off
     slack = max(12, n // 2)
     out = []
-    cuts = np.flatnonzero(np.diff(diag) > slack) + 1
-    for p, o, d in zip(np.split(pos, cuts), np.split(off, cuts), np.split(diag, cuts), strict=True):
-        covered = len(np.unique((o[:, None] + np.arange(SHINGLE)[None, :]).ravel()))
-        if covered >= COVER * n:
-            out.append((int(d.min()) - slack // 2, int(d.max()) + n + slack // 2, covered))
+    shingle = (1 << SHINGLE) - 1
+    low = last = None
+    covered = 0
+    for d, o in [*sorted(zip((pos - off).tolist(), off.tolist(), strict=True)), (None, 0)]:
+        if last is not None and (d is None or d - last > slack):
+            if covered.bit_count() >= COVER * n:
+                out.append((low - slack // 2, last + n + slack // 2, covered.bit_count()))
+            low, covered = None, 0
+        low, last, covered = d if low is None else low, d, covered | shingle << o
     return out
 
 
@@ -237,14 +252,15 @@ def _leaked(docs: DataFrame, doc_id: str, text: str, items: list[tuple[int, str]
                         continue
                     item = int(mine[lo])
                     word = words[item]
-                    least, score = SHARE * len(word) - 1e-9, 0.0
+                    least, score, stands = min(SHARE, HALF) * len(word) - 1e-9, 0.0, False
                     for a, b, _ in _windows(pos[lo:hi], off[lo:hi], len(word)):
                         if item not in masks:
                             masks[item] = word_masks(word.tolist())
                         window = seq[max(a, 0) : b]
                         if common(word, window.tolist(), masks[item]) >= least:
-                            score = max(score, align(word, window))
-                    if score >= SHARE:
+                            of, part = stretch(word, window)
+                            score, stands = max(score, of), stands or of >= SHARE or (part >= HALF and of >= (1 - EDITS) * part - 1e-9)
+                    if stands:
                         out.append((doc, names[item], score))
             if out:
                 yield pd.DataFrame(out, columns=["doc", "item", "score"])
