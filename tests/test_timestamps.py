@@ -86,3 +86,38 @@ def test_blocks_give_what_one_block_gives(spark, monkeypatch):
 def test_declared_order_beats_any_neighbourhood(spark):
     got = run(spark, [("a", "20/05/2026", *NY), ("a", "05/06/2026", *NY), ("a", "21/05/2026", *NY)])
     assert got[1] == us(2026, 5, 6, 4)
+
+
+def test_zone_names_in_any_case_and_long_texts(spark):
+    cases = [
+        ("2026-03-01 10:00 Africa/Dar_es_Salaam", us(2026, 3, 1, 7)),
+        ("2026-03-01 10:00 AMERICA/ARGENTINA/BUENOS_AIRES", us(2026, 3, 1, 13)),
+        ("2026-03-01 10:00 (America/Port-au-Prince)", us(2026, 3, 1, 15)),
+        ("2026-03-01 10:00 etc/gmt+5", us(2026, 3, 1, 15)),
+        ("2026-03-01T10:00+09:00[Asia/Tokyo]", us(2026, 3, 1, 1)),
+        (" " * 300 + "2026-03-01 10:00Z" + "\u00a0\n" * 300, us(2026, 3, 1, 10)),
+    ]
+    got = run(spark, [("a", t, *NY) for t, _ in cases])
+    assert got == {i: want for i, (_, want) in enumerate(cases)}
+
+
+def test_every_zone_of_the_database_gives_an_instant(spark):
+    names = [z for z in ts.zone_names(spark) if "/" in z]
+    assert len(names) > 400 and len(run(spark, [("a", f"2026-03-01 10:00 {z.upper()}", *NY) for z in names])) == len(names)
+
+
+def test_unknown_home_zone_is_utc_and_no_error(spark):
+    assert run(spark, [("a", "2026-03-01 10:00", "MDY", "Mars/Phobos"), ("a", "2026-03-01 " + "/a" * 20_000, *NY)]) == {0: us(2026, 3, 1, 10)}
+
+
+def test_null_and_repeated_orders_are_cut_by_count(spark, monkeypatch):
+    monkeypatch.setattr(ts, "BLOCK", 4)
+    days = ["13/04/2026"] + ["04/05/2026"] * 30 + ["20/05/2026"]
+    df = spark.createDataFrame([("a", None, i, t, None, "UTC") for i, t in enumerate(days)], "source string, pos long, nr long, text string, ord string, zone string")
+    got = normalise_instants(df, "text", ["source"], ["pos", "nr"], "ord", "zone").collect()
+    assert len(got) == 32 and all(r.epoch_us == us(2026, int(days[r.nr][3:5]), int(days[r.nr][:2])) for r in got)
+
+
+def test_other_notations_between_do_not_hide_the_habit(spark):
+    days = ["13/04/2026", "2026-04-20", "04/05/2026", "1795644000", "June 3, 2026", "20/05/2026"]
+    assert run(spark, [("a", t, None, "UTC") for t in days])[2] == us(2026, 5, 4)

@@ -9,6 +9,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: White space of any kind, no-break and zero-width included; trimming by this list is linear whatever a text's length.
+BLANKS = "".join(chr(c) for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF))
+
 
 @F.pandas_udf(T.StringType())
 def _nfc(s: pd.Series) -> pd.Series:

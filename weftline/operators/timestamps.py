@@ -7,7 +7,9 @@ order adds ``SWITCH`` where the format changes between neighbours and ``BACK`` w
 backward, and the cheapest sequence wins. As a row takes part in two transitions at most, an
 interpretation that costs more than 2 * (SWITCH + BACK) above the row's cheapest can never be on the
 cheapest path and is dropped before the pass; so a row whose source declares its
-convention is settled at once, and the pass decides what no declaration settles.
+convention is settled at once, and the pass decides what no declaration settles. All-number dates
+of a source, whose order of day and month is one habit, form a chain of their own, so that texts in other notations
+between them do not hide what their neighbours say.
 """
 
 from __future__ import annotations
@@ -15,9 +17,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftline.functions.text import BLANKS
 from weftline.session import cut, once
 
 VIOLATION, SWITCH, BACK = 100.0, 1.0, 0.5
@@ -34,8 +37,8 @@ ZONE_REGIONS = {"ET": "America/New_York", "CT": "America/Chicago", "MT": "Americ
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 _TIME = r"(?:[t ,]+|\s+at\s+)(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d+))?)?\s*(?:(am|pm|a\.m\.|p\.m\.)(?![a-z]))?"
-_ZONE = r"\s*(z|\(?[a-z]{1,5}\)?|(?:utc|gmt)?[+-−]\d{1,2}(?::?\d{2})?|\[?[a-z]+(?:/[a-z_+-]+)+\]?|\[utc\]|\[[a-z]{1,5}\])?"
-_ZONE = _ZONE.replace("[+-−]", r"[-+−]")
+_NAME = r"[a-z_]+(?:/[a-z0-9_+-]+){1,3}"
+_ZONE = rf"\s*(z|\(?[a-z]{{1,5}}\)?|(?:utc|gmt)?[-+−]\d{{1,2}}(?::?\d{{2}})?(?:\[{_NAME}\])?|[\[(]?{_NAME}[\])]?|\[utc\]|\[[a-z]{{1,5}}\])?"
 _MONTH = r"(jan|feb|mar|apr|may|jun|jul|aug|sept?|oct|nov|dec)[a-z]*\.?"
 _DAY = r"(?:(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+)?"
 #: shape -> (pattern, groups of year, month, day, hour, minute, second, fraction, half of day, zone)
@@ -59,19 +62,9 @@ def _local_us(y: Column, m: Column, d: Column, hh: Column, mi: Column, ss: Colum
     return F.when(real, (((days * 24 + h) * 60 + mi) * 60 + ss) * F.lit(1_000_000).cast("long") + us)
 
 
-def _region(raw: Column) -> Column:
-    """Region names in the case of the zone database (America/New_York), as texts may be in capitals; unknown ones are null."""
-    parts = F.split(raw, "/")
-    fix = lambda p: F.array_join(F.transform(F.split(p, "_"), lambda w: F.initcap(w)), "_")
-    return F.when(raw.rlike(_known_regions()), F.array_join(F.transform(parts, fix), "/"))
-
-
-def _known_regions() -> str:
-    """Pattern of the two-part names of the zone database, so that an unknown region is no error but no instant."""
-    from zoneinfo import available_timezones
-
-    names = sorted(z for z in available_timezones() if z.count("/") == 1 and z.replace("/", "").replace("_", "").isalpha())
-    return "(?i)^(?:" + "|".join(names) + ")$"
+def zone_names(spark: SparkSession) -> list[str]:
+    """All names of the zone database as Spark knows it."""
+    return sorted(spark._jvm.java.time.ZoneId.getAvailableZoneIds())
 
 
 _SEP = "\u0001"
@@ -80,11 +73,11 @@ _SEP = "\u0001"
 def with_interpretations(df: DataFrame, text: str, order: str, home: str, out: str) -> DataFrame:
     """``df`` with all valid readings of ``text`` in ``out``: array of (fmt, cost, epoch_us).
 
-    ``order`` is the source's declared order ('MDY', 'DMY', 'YMD' or null), ``home`` its zone (null:
-    UTC is assumed, at a cost). The work is staged in projections so that each text is matched
+    ``order`` is the source's declared order ('MDY', 'DMY', 'YMD' or null), ``home`` its zone (null or no name of
+    the zone database: UTC is assumed, at a cost). The work is staged in projections so that each text is matched
     against one pattern, once.
     """
-    s = F.regexp_replace(F.when(F.length(text) <= 200, F.col(text)), r"(?U)^\s+|\s+$", "")
+    s = F.trim(F.col(text), F.lit(BLANKS))
     stage = df.withColumn("_s", s)
     parts = F.lit(None).cast("array<string>")
     for shape, (pattern, at) in reversed(SHAPES.items()):
@@ -94,7 +87,8 @@ def with_interpretations(df: DataFrame, text: str, order: str, home: str, out: s
     field = lambda i: F.when(F.size("_p") == 10, F.col("_p")[i])
     number = lambda i: field(i).try_cast("int")
     month = F.coalesce(number(2), F.nullif(F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(F.substring(field(2), 1, 3))), F.lit(0)).cast("int"))
-    z = F.upper(F.regexp_replace(field(9), r"[\[\]()]", ""))
+    # an offset before a region decides
+    z = F.upper(F.regexp_replace(F.regexp_replace(field(9), r"(?<=\d)\[.*", ""), r"[\[\]()]", ""))
     stage = stage.select(
         *df.columns,
         "_s",
@@ -106,8 +100,10 @@ def with_interpretations(df: DataFrame, text: str, order: str, home: str, out: s
         F.coalesce(F.rpad(F.substring(F.nullif(field(7), F.lit("")), 1, 6), 6, "0").try_cast("int"), F.lit(0)).alias("_us"),
         F.lower(F.substring(field(8), 1, 1)).alias("_half"),
         z.alias("_z"),
-        F.regexp_replace(field(9), r"[\[\]]", "").alias("_zone"),
     )
+    names = zone_names(df.sparkSession)
+    places = F.create_map(*[F.lit(x) for z in names if "/" in z for x in (z.lower(), z)])
+    at_home = F.when(F.col(home).isin(names), F.col(home))
     letters = F.create_map(*[F.lit(x) for kv in ZONE_MINUTES.items() for x in kv])
     regions = F.create_map(*[F.lit(x) for kv in ZONE_REGIONS.items() for x in kv])
     offset = r"^(?:UTC|GMT)?([-+−])(\d{1,2}?):?(\d{2})?$"
@@ -120,8 +116,8 @@ def with_interpretations(df: DataFrame, text: str, order: str, home: str, out: s
         "_s",
         "_shape",
         F.coalesce(F.try_element_at(letters, F.col("_z")), F.when(F.col("_z").rlike(r"\d"), F.when(east.between(-1080, 1080), east))).alias("_east"),
-        F.when(F.col("_z") == "", F.coalesce(F.col(home), F.lit("UTC"))).when(F.col("_z").contains("/"), _region(F.col("_zone"))).otherwise(F.try_element_at(regions, F.col("_z"))).alias("_region"),
-        F.when((F.col("_z") == "") & F.col(home).isNull(), VIOLATION).otherwise(0.0).alias("_assumed"),
+        F.when(F.col("_z") == "", F.coalesce(at_home, F.lit("UTC"))).when(F.col("_z").contains("/"), F.try_element_at(places, F.lower("_z"))).otherwise(F.try_element_at(regions, F.col("_z"))).alias("_region"),
+        F.when((F.col("_z") == "") & at_home.isNull(), VIOLATION).otherwise(0.0).alias("_assumed"),
         _local_us(F.col("_y"), F.col("_m"), F.col("_d"), *time).alias("_as"),
         F.when(numeric, _local_us(F.col("_y"), F.col("_d"), F.col("_m"), *time)).alias("_swapped"),
         F.regexp_extract("_s", r"^(\d+)(?:\.(\d*))?$", 1).alias("_number"),
@@ -236,24 +232,33 @@ def _chain_states(firsts: list, lasts: list, matrices: list, start: int | None =
 def choose(df: DataFrame, source: Sequence[str], order: Sequence[str], cands: str) -> DataFrame:
     """``df`` with ``epoch_us`` in place of ``cands``: the readings on the cheapest path through each source.
 
-    ``order[0]`` is a whole number that grows in record order; blocks are cut by it, so no task holds
-    more than ``BLOCK`` records and their parts, and as many blocks make a run, so none holds more than ``BLOCK`` blocks
-    either; of the runs there is one row each. Only blocks with an open row are walked through.
+    Rows of chains in which anything is open are sorted by source and record order and cut into blocks of
+    ``BLOCK`` by count, so no task walks more than that and their parts, whatever the values of ``order``; as many blocks make a
+    run; of the runs there is one row each. Only blocks with an open row are walked through.
     """
     rows = once(df.filter(F.size(cands) > 0), **{cands: prune(F.col(cands))})
-    # the source as one key that is never null
-    rows = cut(rows.withColumns({"_k": F.to_json(F.struct(*source)), "_b": F.coalesce(F.floor(F.col(order[0]) / BLOCK), F.lit(-1))}))
+    # the chain as one key that is never null
+    numbers = F.exists(cands, lambda x: x["fmt"].isin("MDY", "DMY"))
+    rows, seen = cut(rows.withColumn("_k", F.to_json(F.struct(*source, numbers.alias("_numbers")))), open=F.size(cands) > 1)
+    plain = [c for c in df.columns if c != cands]
+    settled = rows.filter(F.size(cands) == 1).select(*plain, F.col(cands)[0]["epoch_us"].alias("epoch_us"))
+    if not seen["open"]:
+        return settled
+    chains = rows.groupBy("_k").agg(F.max(F.size(cands)).alias("_most")).filter("_most > 1").select("_k")
+    place = ["_k", *order, "_t"]
+    rows = rows.withColumn("_t", F.monotonically_increasing_id()).join(chains, "_k", "left_semi")
+    # a row's number holds its partition in the high bits, so that blocks follow each other in order
+    rows = cut(rows.repartitionByRange(*place).sortWithinPartitions(*place).withColumn("_b", F.floor(F.monotonically_increasing_id() / BLOCK)))
     keys = ["_k", "_b"]
-    at = F.struct(*order)
+    at = F.struct(*order, "_t")
     blocks = rows.groupBy(*keys).agg(F.max(F.size(cands)).alias("_open"), F.min_by(cands, at).alias("_first"), F.max_by(cands, at).alias("_last"))
     open_blocks = blocks.filter("_open > 1").select(*keys)
-    settled = rows.filter(F.size(cands) == 1).withColumn("epoch_us", F.col(cands)[0]["epoch_us"]).drop(cands, *keys)
     walked = rows.join(open_blocks, keys, "left_semi")
     kinds = dict(df.dtypes)
     key_ddl = "_k string, _b bigint"
 
     def transfer(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(list(order)).rename(columns={cands: "cands"})
+        pdf = pdf.sort_values([*order, "_t"], na_position="first").rename(columns={cands: "cands"})
         return pd.DataFrame([{**{k: pdf[k].iloc[0] for k in keys}, "_m": _block_transfer(pdf)}])
 
     matrices = walked.groupBy(*keys).applyInPandas(transfer, f"{key_ddl}, _m array<array<double>>")
@@ -282,11 +287,10 @@ def choose(df: DataFrame, source: Sequence[str], order: Sequence[str], cands: st
     runs = chain.groupBy("_k", "_r").applyInPandas(run, f"_k string, _r bigint, _first {state}, _last {state}, _m array<array<double>>")
     run_ends = runs.groupBy("_k").applyInPandas(link_runs, f"_k string, _r bigint, _rin int, _rout int")
     ends = chain.join(run_ends, ["_k", "_r"]).groupBy("_k", "_r").applyInPandas(link_blocks, f"{key_ddl}, _in int, _out int")
-    plain = [c for c in df.columns if c != cands]
     out_ddl = ", ".join([*(f"`{c}` {kinds[c]}" for c in plain), "_n int", "epoch_us bigint"])
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(list(order)).reset_index(drop=True)
+        pdf = pdf.sort_values([*order, "_t"], na_position="first").reset_index(drop=True)
         states = list(pdf[cands])
         start, end = int(pdf["_in"].iloc[0]), int(pdf["_out"].iloc[0])
         costs = [[0.0 if j == start else float("inf") for j in range(len(states[0]))]]
@@ -304,14 +308,14 @@ def choose(df: DataFrame, source: Sequence[str], order: Sequence[str], cands: st
         return out
 
     picked = walked.join(ends, keys).groupBy(*keys).applyInPandas(walk, out_ddl).filter("_n > 1")
-    return settled.select(*plain, "epoch_us").unionByName(picked.select(*plain, "epoch_us"))
+    return settled.unionByName(picked.select(*plain, "epoch_us"))
 
 
 def normalise_instants(df: DataFrame, text: str, source: Sequence[str], order: Sequence[str], date_order: str, home_zone: str) -> DataFrame:
     """Rows ``(*source, *order, epoch_us)``; texts that state no real date give no row.
 
-    Null and empty texts and texts beyond 200 characters state none; ties in ``order`` are broken by its further columns;
-    a null in ``source`` is a source of its own, a null in ``order[0]`` a record before all others; an empty table gives
+    Null and empty texts state none, whatever stands around a date but white space makes it none, however long; ties in ``order`` are broken
+    by its further columns and then as they come; a null in ``source`` is a source of its own, a null in ``order`` comes before all others; an empty table gives
     an empty one; other columns are never read, repeated rows each give theirs.
     """
     df = df.select(*source, *order, text, date_order, home_zone)

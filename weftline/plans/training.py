@@ -12,8 +12,8 @@ from weftline.operators.timestamps import normalise_instants
 from weftline.session import once, small, table
 
 
-def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Every expiry text of the contracts and of the feed's events and markets as one instant."""
+def _expiries(spark: SparkSession, folder: str) -> DataFrame:
+    """Every expiry text of the contracts and of the feed's events and markets with its venue's zone and order of dates."""
     contracts = table(spark, folder, "adapter_contract").select(
         F.lit("adapter_contract").alias("source"), "exchange_id", F.col("ingest_pos").alias("row_id"), F.lit(-1).alias("market_pos"), F.col("event_expiry").alias("text")
     )
@@ -23,7 +23,18 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     )
     feed = table(spark, folder, "polymarket_events").select(F.lit("polymarket_events").alias("source"), F.lit(1).cast("long").alias("exchange_id"), F.col("feed_pos").alias("row_id"), F.inline(texts))
     venues = table(spark, folder, "sm_exchange").select("exchange_id", "home_zone", "date_order")
-    rows = contracts.unionByName(feed).filter("text is not null").join(small(venues), "exchange_id", "left")
+    return contracts.unionByName(feed).filter("text is not null").join(small(venues), "exchange_id", "left")
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every expiry text of the contracts and of the feed's events and markets as one instant."""
+    found = normalise_instants(_expiries(spark, folder), "text", ["source", "exchange_id"], ["row_id", "market_pos"], "date_order", "home_zone")
+    return found.select("source", "row_id", "market_pos", "epoch_us")
+
+
+def p2_undeclared(spark: SparkSession, folder: str) -> DataFrame:
+    """The same where no venue declares its order of day and month: the pass over each source's records decides."""
+    rows = _expiries(spark, folder).withColumn("date_order", F.lit(None).cast("string"))
     found = normalise_instants(rows, "text", ["source", "exchange_id"], ["row_id", "market_pos"], "date_order", "home_zone")
     return found.select("source", "row_id", "market_pos", "epoch_us")
 
@@ -66,7 +77,7 @@ def _each_sql(src: str, lst: str, cols: str) -> str:
     return f"SELECT {cols}, i AS pos, json_extract(l, '$[' || i || ']') AS v FROM (SELECT *, unnest(range(coalesce(json_array_length(l), 0)::BIGINT)) AS i FROM (SELECT *, {lst} AS l FROM {src}))"
 
 
-QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p6_found": p6_found, "p6_market_table": p6_market_table, "p7_found": p7_found}
+QUERIES = {"p2_found": p2_found, "p2_undeclared": p2_undeclared, "p4_found": p4_found, "p6_found": p6_found, "p6_market_table": p6_market_table, "p7_found": p7_found}
 
 ORACLES = {
     "p4_found": r"""
