@@ -43,11 +43,34 @@ def test_tables_keep_parents(spark):
     assert [r.label for r in t["tag"].filter("event_pos = 0").orderBy("tag_pos").collect()] == ["A", "B", None]
 
 
-def test_shared_and_recursive_elements_get_tables():
-    g = Graph("r", [Edge("r", "a", "a"), Edge("r", "b", "b"), Edge("a", "s", "s"), Edge("b", "s", "s"), Edge("a", "a.x", "x"), Edge("s", "s.y", "y"), Edge("s", "s", "child")])
-    rels = {(r.element, tuple(p.at for p in r.path)): dict(r.columns) for r in shared_inlining(g)}
-    assert rels[("r", ())] == {"x": "a.x"}
-    assert ("s", ("a.s",)) in rels and ("s", ("b.s",)) in rels
+SHARED = Graph("r", [Edge("r", "a", "a"), Edge("r", "b", "b", many=True), Edge("r", "c", "c", many=True), Edge("a", "a.x", "x"), Edge("b", "b.id", "id"), Edge("b", "s", "s"), Edge("c", "s", "s", many=True), Edge("s", "s.y", "y"), Edge("s", "s", "kids", many=True)])
+
+
+def test_shared_and_recursive_elements_get_one_table():
+    rels = {r.element: r for r in shared_inlining(SHARED)}
+    assert set(rels) == {"r", "b", "c", "s"} and dict(rels["r"].columns) == {"x": "a.x"}
+    assert [(e.parent, e.at) for r in rels.values() for e in r.edges if e.child == "s"] == [("b", "s"), ("c", "s"), ("s", "kids")] and rels["s"].recursive
+
+
+def test_shared_and_recursive_elements_keep_all_rows_and_parents(spark):
+    deep = {"y": "b1", "kids": [{"y": "k0"}, None, {"y": "k2", "kids": [{"y": "g0"}]}]}
+    doc = {"a": {"x": "X"}, "b": [{"id": 1, "s": deep}, {"id": 2}], "c": [{"s": [{"y": "c0"}, {"y": "c1"}]}]}
+    df = spark.createDataFrame([(7, json.dumps(doc)), (8, "{}"), (9, None)], "id long, body string").select("id", F.try_parse_json("body").alias("d"))
+    t = flatten(df, ["id"], "d", SHARED)
+    assert [tuple(r) for r in t["r"].orderBy("id").collect()] == [(7, "X"), (8, None)]
+    got = sorted((r.y, r.parent, r.b_pos, r.c_pos, r.s_pos, r.node, r.parent_node) for r in t["s"].collect())
+    assert got == [
+        ("b1", "b", 0, None, 0, "s:0", None), ("c0", "c", None, 0, 0, "s:0", None), ("c1", "c", None, 0, 1, "s:1", None),
+        ("g0", "s", 0, None, 0, "s:0/s:2/s:0", "s:0/s:2"), ("k0", "s", 0, None, 0, "s:0/s:0", "s:0"), ("k2", "s", 0, None, 2, "s:0/s:2", "s:0"),
+    ]
+
+
+def test_cycles_of_several_elements(spark):
+    g = Graph("r", [Edge("r", "p", "p"), Edge("p", "p.n", "n"), Edge("p", "q", "q", many=True), Edge("q", "q.m", "m"), Edge("q", "p", "p")])
+    doc = {"p": {"n": 1, "q": [{"m": 2, "p": {"n": 3, "q": [{"m": 4}, {"m": 5}]}}]}}
+    t = flatten(spark.createDataFrame([(json.dumps(doc), 1)], "body string, id int").select("id", F.try_parse_json("body").alias("d")), ["id"], "d", g)
+    assert sorted((r.n, r.node, r.parent_node) for r in t["p"].collect()) == [("1", "p:0", None), ("3", "p:0/q:0/p:0", "p:0/q:0")]
+    assert sorted((r.m, r.parent_node) for r in t["q"].collect()) == [("2", "p:0"), ("4", "p:0/q:0/p:0"), ("5", "p:0/q:0/p:0")]
 
 
 def test_graph_of_a_schema():

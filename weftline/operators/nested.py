@@ -2,8 +2,8 @@
 
 A schema graph names elements and the edges between them. The analysis inlines every element
 that occurs at most once under one parent into that parent's table, and gives a table of its
-own to an element that is repeated, shared by several parents or recursive. The tables carry
-the root's key and the position on every level above them as foreign key.
+own to an element that is repeated, shared by several parents or recursive; each element has one table,
+with the rows of all its parents. The tables carry the root's key and the position on every level above them as foreign key.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftline.session import cut
+
 
 @dataclass(frozen=True)
 class Edge:
@@ -55,50 +57,46 @@ def graph_of(schema: T.StructType, root: str) -> Graph:
 
 @dataclass(frozen=True)
 class Relation:
-    """A table: ``path`` leads from the root through the elements that have tables; ``columns`` are the inlined leaves."""
+    """A table: its element's inlined ``columns`` (name, place), those of them that take a bare value, and the ``edges`` to the tables below."""
 
     element: str
-    path: tuple[Edge, ...]
     columns: tuple[tuple[str, str], ...]
+    edges: tuple[Edge, ...]
     bare: frozenset[str] = frozenset()
+    recursive: bool = False
 
 
 def shared_inlining(graph: Graph) -> list[Relation]:
-    """Which elements become tables, and what each of them inlines.
+    """Which elements become tables, and what each of them inlines; parents stand before their children, but for those on a cycle.
 
     Own tables: the root, children of a repeated edge, elements with two or more parents,
-    and elements on a cycle. A recursive element is expanded once per path; its own repeated
-    occurrence refers to the same table.
+    and elements on a cycle. However many parents an element has, it has one table.
     """
-    indegree: dict[str, int] = {}
+    parents: dict[str, set[tuple[str, str]]] = {}
     for e in graph.edges:
-        indegree[e.child] = indegree.get(e.child, 0) + 1
-
-    def reaches(start: str, goal: str) -> bool:
+        parents.setdefault(e.child, set()).add((e.parent, e.at))
+    below: dict[str, set[str]] = {}
+    for start in {graph.root, *parents}:
         seen, todo = set(), [start]
         while todo:
             for e in graph.children(todo.pop()):
-                if e.child == goal:
-                    return True
                 if e.child not in seen:
                     seen.add(e.child)
                     todo.append(e.child)
-        return False
+        below[start] = seen
+    own = {graph.root} | {e.child for e in graph.edges if e.many or len(parents[e.child]) > 1 or e.child in below[e.child]}
+    found: dict[str, Relation] = {}
 
-    own = {graph.root} | {e.child for e in graph.edges if e.many or indegree[e.child] > 1 or reaches(e.child, e.child)}
-    found: list[Relation] = []
-
-    def build(name: str, path: tuple[Edge, ...]) -> None:
+    def build(name: str) -> None:
         columns: list[tuple[str, str]] = []
         bare: set[str] = set()
-        below: list[tuple[Edge, ...]] = []
+        edges: list[Edge] = []
 
         def inline(at: str, prefix: str) -> None:
             for e in graph.children(at):
                 place = f"{prefix}.{e.at}" if prefix and e.at else prefix or e.at
                 if e.child in own:
-                    if all(e.child != p.child for p in path):
-                        below.append((*path, Edge(name, e.child, place, e.many)))
+                    edges.append(Edge(name, e.child, place, e.many))
                 elif graph.children(e.child):
                     inline(e.child, place)
                 else:
@@ -107,12 +105,15 @@ def shared_inlining(graph: Graph) -> list[Relation]:
                         bare.add(place)
 
         inline(name, "")
-        found.append(Relation(name, path, tuple(columns), frozenset(bare)))
-        for p in below:
-            build(p[-1].child, p)
+        found[name] = Relation(name, tuple(columns), tuple(edges), frozenset(bare), name in below[name])
+        for e in edges:
+            if e.child not in found:
+                build(e.child)
 
-    build(graph.root, ())
-    return found
+    build(graph.root)
+    # an element stands behind all that lead to it, elements of one cycle behind each other
+    names = sorted(found, key=lambda n: (sum(n in below[m] and m not in below[n] for m in found), list(found).index(n)))
+    return [found[n] for n in names]
 
 
 def get(v: Column, path: str) -> Column:
@@ -150,18 +151,86 @@ def flatten(df: DataFrame, keys: Sequence[str], doc: str, graph: Graph, unwrap:
     the root (position in its list, from 0; null elements give no row but keep their
     position) and the inlined columns as text; what stands bare in place of an object is the value of the
     column whose edge is marked ``bare``. ``unwrap`` gives the list under the root where envelopes around it differ.
-    Null or unparsable documents give no rows; other columns of ``df`` are never read.
+    An element that hangs under several parents, or under itself, has the rows of all of them, with ``parent`` (the
+    parent's element) and, where it is recursive, ``node`` and ``parent_node``: the way from where the recursion starts, as text;
+    levels that a row's way does not pass are null. A recursive edge is followed until it leads to nothing more, level by
+    level. Null or unparsable documents give no rows; other columns of ``df`` are never read.
     """
+    relations = {r.element: r for r in shared_inlining(graph)}
+    short = {n: n.rsplit(".", 1)[-1] for n in relations}
+    into: dict[str, list[Edge]] = {n: [] for n in relations}
+    for r in relations.values():
+        for e in r.edges:
+            into[e.child].append(e)
+    several = {n for n, es in into.items() if len(es) > 1 or relations[n].recursive}
+    labels = ("parent", "node", "parent_node")
+    rows: dict[str, DataFrame | None] = {n: None for n in relations}
+    rows[graph.root] = df.select(*keys, F.col(doc).alias("_v")).filter(occurs(F.col("_v")))
+
+    def add(name: str, part: DataFrame) -> None:
+        rows[name] = part if rows[name] is None else rows[name].unionByName(part, allowMissingColumns=True)
+
+    def follow(e: Edge, above: DataFrame) -> DataFrame:
+        """Rows of the child under the given rows of the parent."""
+        pos = f"{short[e.child]}_pos"
+        at = [c for c in above.columns if c not in (*keys, *labels, "_v", pos)]
+        value = unwrap(F.col("_v")) if unwrap and e.parent == graph.root else as_list(get(F.col("_v"), e.at))
+        node = F.col("node") if "node" in above.columns else F.lit(None).cast("string")
+        out = above.select(*keys, *at, node.alias("_up"), F.posexplode(value).alias(pos, "_v")).filter(occurs(F.col("_v")))
+        own = F.concat(F.lit(f"{short[e.child]}:"), F.col(pos).cast("string"))
+        marks = [F.lit(e.parent).alias("parent")] if e.child in several else []
+        if relations[e.child].recursive:
+            marks += [F.concat_ws("/", "_up", own).alias("node"), F.col("_up").alias("parent_node")]
+        return out.select(*keys, *at, pos, *marks, "_v")
+
+    def rounds(group: set[str]) -> None:
+        """Elements that reach each other: level by level until no row is left."""
+        level = {n: rows[n] for n in group if rows[n] is not None}
+        while level:
+            below: dict[str, DataFrame] = {}
+            for n, above in level.items():
+                for e in relations[n].edges:
+                    if e.child in group:
+                        part = follow(e, above)
+                        below[e.child] = part if e.child not in below else below[e.child].unionByName(part, allowMissingColumns=True)
+            level = {}
+            for n, part in below.items():
+                kept, seen = cut(part, rows=F.lit(True))
+                if seen["rows"]:
+                    level[n] = kept
+                    add(n, kept)
+
+    reach: dict[str, set[str]] = {}
+    for n in relations:
+        seen, todo = set(), [n]
+        while todo:
+            for e in relations[todo.pop()].edges:
+                if e.child not in seen:
+                    seen.add(e.child)
+                    todo.append(e.child)
+        reach[n] = seen
+    done: set[str] = set()
+    for n in relations:
+        if n in done:
+            continue
+        group = {n} | {m for m in relations if m in reach[n] and n in reach[m]}
+        for m in group:
+            for e in into[m]:
+                if e.parent not in group and rows[e.parent] is not None:
+                    add(m, follow(e, rows[e.parent]))
+        if relations[n].recursive:
+            rounds(group)
+        done |= group
     tables: dict[str, DataFrame] = {}
-    for rel in shared_inlining(graph):
-        rows, at = df.select(*keys, F.col(doc).alias("_v")).filter(occurs(F.col("_v"))), []
-        for e in rel.path:
-            pos = f"{e.child.rsplit('.', 1)[-1]}_pos"
-            rows = rows.select(*keys, *at, F.posexplode(unwrap(F.col("_v")) if unwrap and e.parent == graph.root else as_list(get(F.col("_v"), e.at))).alias(pos, "_v")).filter(occurs(F.col("_v")))
-            at.append(pos)
+    for n, rel in relations.items():
+        if rows[n] is None:
+            continue
+        at = [c for c in rows[n].columns if c != "_v"]
         bare = F.when(F.try_variant_get(F.col("_v"), "$", "map<string,variant>").isNull(), text(F.col("_v")))
         values = {place: text(get(F.col("_v"), place)) for _, place in rel.columns}
-        tables[rel.element] = rows.select(*keys, *at, *[(F.coalesce(values[place], bare) if place in rel.bare else values[place]).alias(c) for c, place in rel.columns])
+        taken = set(at)
+        name = lambda c: c if c not in taken else f"{c}_value"
+        tables[n] = rows[n].select(*at, *[(F.coalesce(values[place], bare) if place in rel.bare else values[place]).alias(name(c)) for c, place in rel.columns])
     return tables
 
 

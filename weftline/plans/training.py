@@ -79,7 +79,22 @@ def _each_sql(src: str, lst: str, cols: str) -> str:
 
 QUERIES = {"p2_found": p2_found, "p2_undeclared": p2_undeclared, "p4_found": p4_found, "p6_found": p6_found, "p6_market_table": p6_market_table, "p7_found": p7_found}
 
+_PAGES_SQL = f"""
+WITH b AS (SELECT page_id, body::JSON AS j FROM polymarket_pages WHERE json_valid(body)),
+w AS (SELECT page_id, coalesce(json_extract(j, '$.events'), json_extract(j, '$.data.events'), json_extract(j, '$.data'), j) AS j FROM b),
+e AS (SELECT page_id, pos AS event_pos, v AS e FROM ({_each_sql('w', _list_sql('j'), 'page_id')}) WHERE json_type(v) <> 'NULL'),
+m AS (SELECT page_id, event_pos, pos AS market_pos, v AS m FROM ({_each_sql('(SELECT *, json_extract(e, $$$.markets$$) AS q FROM e)', _list_sql('q'), 'page_id, event_pos')}) WHERE json_type(v) <> 'NULL')"""
+
+
+def _number_sql(c: str) -> str:
+    """A field as text, decimals without trailing zeros."""
+    return rf"CASE json_type(m, '$.{c}') WHEN 'DOUBLE' THEN regexp_replace(regexp_replace(m ->> '$.{c}', '(\.\d*?)0+$', '\1'), '\.$', '') ELSE m ->> '$.{c}' END AS {c}"
+
+
+_MARKET_COLUMNS = [e.at for e in FEED.edges if e.parent == "market" and not e.many]
+
 ORACLES = {
+    "p6_market_table": f"{_PAGES_SQL} SELECT page_id, event_pos::INTEGER AS event_pos, market_pos::INTEGER AS market_pos, " + ", ".join(map(_number_sql, _MARKET_COLUMNS)) + " FROM m",
     "p4_found": r"""
 WITH c AS (
   SELECT snapshot_no, exchange_id, exchange_security_id,
@@ -100,11 +115,7 @@ SELECT coalesce(a.snapshot_no, g.snapshot_no) AS snapshot_no,
 FROM added a FULL JOIN gone g ON a.snapshot_no = g.snapshot_no
  AND a.exchange_id IS NOT DISTINCT FROM g.exchange_id AND a.exchange_security_id IS NOT DISTINCT FROM g.exchange_security_id
 """,
-    "p6_found": f"""
-WITH b AS (SELECT page_id, body::JSON AS j FROM polymarket_pages WHERE json_valid(body)),
-w AS (SELECT page_id, coalesce(json_extract(j, '$.events'), json_extract(j, '$.data.events'), json_extract(j, '$.data'), j) AS j FROM b),
-e AS (SELECT page_id, pos AS event_pos, v AS e FROM ({_each_sql('w', _list_sql('j'), 'page_id')}) WHERE json_type(v) <> 'NULL'),
-m AS (SELECT page_id, event_pos, pos AS market_pos, v AS m FROM ({_each_sql('(SELECT *, json_extract(e, $$$.markets$$) AS q FROM e)', _list_sql('q'), 'page_id, event_pos')}) WHERE json_type(v) <> 'NULL'),
+    "p6_found": f"""{_PAGES_SQL},
 t AS ({_each_sql('(SELECT *, json_extract(e, $$$.tags$$) AS q FROM e)', _list_sql('q'), 'page_id, event_pos')}),
 o AS ({_each_sql('(SELECT *, json_extract(m, $$$.outcomes$$) AS q FROM m)', _list_sql('q'), 'page_id, event_pos, market_pos')}),
 k AS ({_each_sql('(SELECT *, json_extract(m, $$$.clobTokenIds$$) AS q FROM m)', _list_sql('q'), 'page_id, event_pos, market_pos')}),
