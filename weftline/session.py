@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -26,22 +27,32 @@ def local_session(cpus: str | int = "*", partitions: int = 8) -> SparkSession:
     )
 
 
-def cut(df: DataFrame, **counts: Column) -> tuple[DataFrame, dict[str, int]] | DataFrame:
-    """Cuts lineage with a reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
-
-    With ``counts`` (conditions by name) also how many rows fulfil each, observed as the
-    checkpoint is written, so that no job of its own counts them.
-
-    Only where neither that setting nor the context names a folder (a local test
-    session) is a folder made here.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; only where neither that setting nor the context names one (a local test session) one is made here."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="weftline-"))
+    return sc.getCheckpointDir()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Cuts lineage with a table in the shared folder: narrower than a checkpoint where columns repeat, and Catalyst knows its size."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def cut(df: DataFrame, **counts: Column) -> tuple[DataFrame, dict[str, int]] | DataFrame:
+    """Cuts lineage with a reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
+
+    With ``counts`` (conditions by name) also how many rows fulfil each, observed as the
+    checkpoint is written, so that no job of its own counts them.
+    """
+    shared_folder(df.sparkSession)
     if not counts:
         return df.checkpoint(eager=True)
     seen = Observation()
