@@ -1,8 +1,10 @@
+import math
 import random
 
 import numpy as np
 
-from weftline.llm.leakage import COVER, SHINGLE, align, common, leaked_items, least_places, words_of
+from weftline.llm import leakage
+from weftline.llm.leakage import RUN, SHARE, SHINGLE, align, common, leaked_items, least_places, stretch, stretches, words_of
 
 random.seed(9)
 VOCABULARY = [f"{a}{b}{c}" for a in ("ka", "lo", "mi", "nu") for b in ("ser", "tan", "vel", "dor", "pim") for c in ("a", "et", "ion", "us")]
@@ -70,14 +72,45 @@ def test_frequent_shingles_left_out_of_the_prefix_lose_nothing(spark):
 
 
 def test_bounds():
-    assert all(SHINGLE * (least_places(n) - 1) < COVER * n for n in range(6, 500)) and least_places(5) == 1
+    # whatever m words stand, cut into runs by one edit place for every RUN of them, so many shingles are shared
     rng = np.random.default_rng(4)
+    for n in range(8, 200):
+        m = math.ceil(SHARE * n)
+        cuts = np.sort(rng.choice(np.arange(1, m), m // RUN, replace=False)) if m // RUN else np.zeros(0, int)
+        runs = np.diff(np.concatenate([[0], cuts, [m]]))
+        assert np.maximum(runs - SHINGLE + 1, 0).sum() >= least_places(n) or least_places(n) == 1
     for _ in range(50):
         a, b = rng.integers(0, 12, 30), rng.integers(-1, 12, 50)
         assert align(a, b) * len(a) <= common(a.tolist(), b.tolist()) + 1e-9
     assert common([1, 2, 3, 4], [9, 1, 3, 3, 4, 2]) == 3
 
 
+def test_alignments_side_by_side_are_those_one_by_one(monkeypatch):
+    rng = np.random.default_rng(5)
+    items = [rng.integers(0, 9, n) for n in (1, 7, 30, 30, 2100)] + [np.zeros(0, int), rng.integers(0, 9, 5)]
+    docs = [rng.integers(0, 9, n) for n in (4, 80, 40, 0, 60, 9, 3)]
+    assert stretches(items, docs) == [stretch(a, b) for a, b in zip(items, docs, strict=True)]
+
+
+def test_edits_of_one_word_in_four_to_ten_at_any_length(spark):
+    items, docs, want = [], [], set()
+    for i, n in enumerate((8, 12, 20, 60, 150)):
+        item = [f"x{i}y{k}" for k in range(n)]
+        items.append((i, " ".join(item)))
+        for rate in range(4, 11):
+            docs.append((10 * i + rate, " ".join(NOISE[:40] + [w if (k + 1) % rate else "changed" for k, w in enumerate(item)] + NOISE[40:80])))
+            want.add((10 * i + rate, i))
+    assert found(spark, docs, items) == want
+
+
+def test_items_in_blocks_give_what_one_block_gives(spark, monkeypatch):
+    items = [(i, " ".join(f"x{i}y{k}" for k in range(20))) for i in range(6)]
+    docs = [(i, " ".join(NOISE[:30]) + " " + t) for i, t in items] + [(9, items[0][1] + " " + items[5][1])]
+    whole = found(spark, docs, items)
+    monkeypatch.setattr(leakage, "BLOCK_WORDS", 40)
+    assert len(whole) == 8 and found(spark, docs, items) == whole
+
+
 def test_half_of_the_words_stand_whatever_the_edits_cost(spark):
     item = [f"w{i}" for i in range(100)]
     part = ["changed" if k % 9 == 8 else w for k, w in enumerate(item[20:78])]  # 52 words stand, the score is 0.46
