@@ -35,28 +35,40 @@ def test_venue_b_decides_the_shape_before_dropping(spark, tmp_path):
     m = lambda t, s="active", y=None: {"ticker": t, "status": s, "yes_sub_title": y, "rules_primary": "r", "close_time": "2026", "volume_fp": "3"}
     events = land(spark, tmp_path, "b", {"events": [
         {"event_ticker": "X", "title": "Pope", "mutually_exclusive": True, "markets": [m("X1", y="A"), m("X2", "finalized")]},
-        {"event_ticker": "Y", "title": "Mars", "sub_title": "by 2099", "mutually_exclusive": True, "markets": [m("Y1")]},
+        {"event_ticker": "Y", "title": "Mars", "sub_title": "landing", "series_ticker": "KXM", "mutually_exclusive": True, "markets": [m("Y1", y="by 2099")]},
+        {"event_ticker": "Z", "title": "Rain", "markets": [m("Z1", y="May"), m("Z2"), m("", y="June")]},
+        {"event_ticker": "", "title": "None", "markets": [m("N1")]},
     ]})
-    got = {(r.exchange_security_id, r.event_title, r.outcome_label, r.exchange_event_native_id, r.event_volume) for r in feeds.venue_b(events).collect()}
-    assert got == {("X1", "Pope", "A", "X", 6.0), ("Y1:yes", "Mars: by 2099", "Yes", "Y", 3.0), ("Y1:no", "Mars: by 2099", "No", "Y", 3.0)}
+    rows = feeds.venue_b(events).collect()
+    got = {(r.exchange_security_id, r.event_title, r.outcome_label, r.exchange_event_native_id, r.event_volume) for r in rows}
+    want = {("X1", "Pope", "A", "X", 6.0)} | {(f"Y1:{s.lower()}", "Mars: by 2099", s, "Y", 3.0) for s in ("Yes", "No")} | {(f"{t}:{s.lower()}", f"Rain: {y}", s, t, 3.0) for t, y in (("Z1", "May"), ("Z2", "Z2")) for s in ("Yes", "No")}
+    assert got == want and {r.exchange_event_native_url for r in rows if r.exchange_event_native_id == "Y"} == {"https://venue-b.example/event/kxm/mars-landing"}
+    assert rows[0].asDict().keys() == set(feeds.CONTRACT) and {(r.contract_type, len(r.exchange_security_symbol) <= 100) for r in rows} == {(2, True), (3, True)}
     assert {r.native_id for r in feeds.resolved_b(events).collect()} == {"X2"}
 
 
 def test_venue_c(spark, tmp_path):
     o = lambda i, *s: {"outcome": i, "name": f"n{i}", "description": "x", "sideSpecs": [{"name": v} for v in s]}
-    q = {"name": "Q", "description": "d", "namedOutcomes": [1, 2, 3], "fallbackOutcome": 3, "settledNamedOutcomes": []}
+    q = {"name": "Q", "description": "class:x|category: CRYPTO |expiry:20260301-1030|category:CRYPTO", "namedOutcomes": [1, 2, 3], "fallbackOutcome": 3, "settledNamedOutcomes": []}
     r = {"name": "R", "description": "d", "namedOutcomes": [4, 5], "fallbackOutcome": None, "settledNamedOutcomes": [5]}
-    pages = land(spark, tmp_path, "c", {"outcomes": [o(1), o(2), o(3), o(4, "Up", "Down"), o(5), o(6)], "questions": [q, r]})
+    pages = land(spark, tmp_path, "c", {"outcomes": [o(1), o(2), o(3), o(4, "Up", "Down"), o(5), o(6, None, None), o(7)], "questions": [q, r]})
     got = {(x.exchange_security_id, x.event_title, x.outcome_label, x.exchange_event_native_id) for x in feeds.venue_c(pages).collect()}
     assert got == {("@1", "Q", "n1", "q:1"), ("@2", "Q", "n2", "q:1"), ("@4:0", "R", "Up", "o:4"), ("@4:1", "R", "Down", "o:4"), ("@6:0", "n6", "Yes", "o:6"), ("@6:1", "n6", "No", "o:6")}
+    assert {(x.exchange_security_id, x.event_category, x.event_expiry, x.event_description) for x in feeds.venue_c(pages).collect() if x.exchange_security_id in ("@1", "@4:0", "@6:1")} == {("@1", "CRYPTO", "2026-03-01T10:30:00Z", None), ("@4:0", None, None, "d"), ("@6:1", None, None, "x")}
     assert {x.native_id for x in feeds.resolved_c(pages).collect()} == {"@5", "@5:0", "@5:1"}
 
 
 def test_fetch_all_skips_the_unregistered_and_caps(spark, tmp_path):
     events = land(spark, tmp_path, "a", {"events": [{"title": "F", "slug": "f", "markets": [market(1), market(2)]}]})
     exchanges = spark.createDataFrame([(9, "Venue_A")], "exchange_id long, exchange_name string")
-    assert feeds.fetch_all({"venue_a": events, "venue_b": events, "other": events}, exchanges, 3).select("exchange_id").distinct().collect()[0][0] == 9
-    assert feeds.fetch_all({"venue_a": events}, exchanges, 3).count() == 3
+    exchanges = exchanges.union(spark.createDataFrame([(8, "venue_b")], exchanges.schema))
+    got = feeds.fetch_all({"venue_a": events, "venue_b": events, "other": events}, exchanges, 3)
+    assert got.rows.select("exchange_id").distinct().collect()[0][0] == 9 and list(got.failed) == ["venue_b"]
+    assert feeds.fetch_all({"venue_a": events}, exchanges, 3).rows.count() == 3
+    closed = land(spark, tmp_path, "a", {"events": [{"title": "F", "slug": "f", "markets": [market(1, closed=True), market(2)]}]})
+    done = feeds.fetch_resolved({"venue_a": closed, "venue_b": closed}, exchanges)
+    assert {tuple(r) for r in done.rows.collect()} == {(9, "c1:11"), (9, "c1:12")} and list(done.failed) == ["venue_b"]
+    assert feeds.open_or_closed(closed, "endDate", "2026-01-01", 9).count() == 1
     with pytest.raises(ValueError):
         feeds.exchange_id(exchanges, "nowhere")
 

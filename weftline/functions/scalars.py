@@ -99,7 +99,7 @@ def title_case(text: Column) -> Column:
 
 def key_values(text: Column) -> Column:
     """``k:v|k:v`` as a map; the last of a repeated key wins, parts without a colon are left out."""
-    parts = F.filter(F.split(text, r"\|"), lambda p: p.contains(":"))
+    parts = F.filter(F.split(F.coalesce(text, F.lit("")), r"\|"), lambda p: p.contains(":"))
     pairs = F.transform(parts, lambda p: F.struct(F.trim(F.substring_index(p, ":", 1)).alias("key"), F.trim(F.regexp_replace(p, "^[^:]*:", "")).alias("value")))
     last = F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs) - i - 1, F.lit(0))), lambda y: y["key"] == x["key"]))
     return F.map_from_entries(last)

@@ -70,9 +70,9 @@ def latest_spec(specs: DataFrame, keys: list[str], values: list[str], order: lis
 
 
 def spec_changes(current: DataFrame, recorded: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    """Specs to append: listings without one ('new') or whose last one differs ('update'); values compare as scaled whole numbers, null-safe."""
+    """Specs to append: listings without one ('new') or whose last one differs ('update'); values compare as whole numbers of billionths, cut toward zero, null-safe."""
     last = recorded.select(*keys, *[F.col(v).alias(f"_l_{v}") for v in values], F.lit(True).alias("_has"))
-    scaled = lambda c: F.round(F.col(c) * 1e9).cast("long")
+    scaled = lambda c: (F.col(c) * 1e9).cast("long")
     same = F.lit(True)
     for v in values:
         same = same & scaled(v).eqNullSafe(scaled(f"_l_{v}"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -34,6 +34,26 @@ def cascade(listings: DataFrame, securities: DataFrame, links: DataFrame, events
     return Cascade(off.select(*key, "security_id"), dead, over)
 
 
+def resolve_ids(listings: DataFrame, securities: DataFrame, links: DataFrame, events: DataFrame, resolved: DataFrame) -> Cascade:
+    """The cascade from what venues report as resolved: (exchange_id, native_id) of listings, repeated and unknown ones included."""
+    hit = resolved.select("exchange_id", F.col("native_id").alias("exchange_security_id")).distinct()
+    return cascade(listings, securities, links, events, hit, ["exchange_id", "exchange_security_id"])
+
+
+def apply_cascade(out: Cascade, securities: DataFrame, events: DataFrame, vectors: DataFrame, at: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(securities, events, vectors) after the cascade: inactive, resolved at the given time, without vectors of resolved events; what was resolved before keeps its time."""
+    off = securities.join(out.securities.select("security_id", F.lit(True).alias("_off")), "security_id", "left")
+    off = off.withColumn("active", F.col("active") & F.col("_off").isNull()).select(*securities.columns)
+    done = events.join(out.events.select("event_id", F.lit(True).alias("_off")), "event_id", "left")
+    done = done.withColumns({"resolved": F.coalesce("resolved", F.lit(False)) | F.col("_off").isNotNull(), "resolved_at": F.when(F.col("_off"), at).otherwise(F.col("resolved_at"))}).select(*events.columns)
+    return off, done, vectors.join(out.events, "event_id", "left_anti")
+
+
+def still_active(listings: DataFrame) -> DataFrame:
+    """Distinct securities with an active listing."""
+    return listings.filter("active").select("security_id").distinct()
+
+
 def active_count(links: DataFrame, securities: DataFrame) -> DataFrame:
     """Active securities per event; events without any count 0."""
     flags = links.join(securities.select("security_id", F.col("active").alias("_a")), "security_id", "left")

@@ -55,6 +55,14 @@ def keyword_pairs(contracts: DataFrame, keywords: DataFrame) -> DataFrame:
     return words.join(keys, "first").filter(holds).select("security_id", "keyword_security_id", "keyword").distinct()
 
 
+def hedge_relations(contracts: DataFrame, keywords: DataFrame, confidence: float) -> DataFrame:
+    """Keyword pairs as relations of the rules: each contract with the security that a keyword in its text stands for."""
+    pairs = keyword_pairs(contracts, keywords)
+    return pairs.select(
+        F.col("security_id").alias("security_id_a"), F.col("keyword_security_id").alias("security_id_b"), F.lit("HEDGEABLE_WITH").alias("relationship_type"), F.lit(confidence).alias("confidence"), F.lit("rule").alias("method")
+    ).distinct()
+
+
 def parse_judgement(text: Column) -> Column:
     """Valid items of a response; null where it is no list, or an item's confidence is no number (one bad item voids all)."""
     items = F.from_json(strip_code_fences(text), JUDGE_SCHEMA)
@@ -76,11 +84,31 @@ def judged_pairs(responses: DataFrame, contracts: DataFrame, least: float = 0.7)
     a = contracts.filter("side = 'a'").select("pair_id", F.col("place").alias("pa"), F.col("security_id").alias("security_id_a"))
     b = contracts.filter("side = 'b'").select("pair_id", F.col("place").alias("pb"), F.col("security_id").alias("security_id_b"))
     found = best.join(a, ["pair_id", "pa"]).join(b, ["pair_id", "pb"])
-    swap = (F.col("relationship_type") == "IMPLIES") & (F.col("direction") == "B_IMPLIES_A")
+    return found.select(F.inline(_directed(F.coalesce(F.col("direction"), F.lit("A_IMPLIES_B")))), "relationship_type", "confidence")
+
+
+def cached_relations(items: DataFrame, contracts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Relations of securities from cached judgements, which name outcomes by label.
+
+    ``items``: pair_id, first_label, second_label, type, confidence, direction; ``pairs``: pair_id, event_a, event_b, a_first (whether the
+    cache has event a in first place); ``contracts``: event_id, security_id, outcome_label; of equal labels in an event the highest security
+    counts. Labels no contract has and unknown types give none; an unset direction is that from a to b.
+    """
+    labels = contracts.groupBy("event_id", "outcome_label").agg(F.max("security_id").alias("security_id"))
+    at = items.join(pairs, "pair_id")
+    swap = ~F.col("a_first")
+    at = at.select("type", "confidence", "direction", "event_a", "event_b", F.when(swap, F.col("second_label")).otherwise(F.col("first_label")).alias("la"), F.when(swap, F.col("first_label")).otherwise(F.col("second_label")).alias("lb"))
+    a, b = labels.toDF("event_a", "la", "security_id_a"), labels.toDF("event_b", "lb", "security_id_b")
+    found = at.join(a, ["event_a", "la"]).join(b, ["event_b", "lb"]).withColumn("relationship_type", F.upper(F.trim("type"))).filter(F.col("relationship_type").isin(*TYPES))
+    return found.select(F.inline(_directed(F.coalesce(F.upper("direction"), F.lit("A_IMPLIES_B")))), "relationship_type", "confidence")
+
+
+def _directed(direction: Column) -> Column:
+    """Both directions, for IMPLIES the one it states."""
     there = F.struct(F.col("security_id_a").alias("security_id_a"), F.col("security_id_b").alias("security_id_b"))
     back = F.struct(F.col("security_id_b").alias("security_id_a"), F.col("security_id_a").alias("security_id_b"))
-    ends = F.when(swap, F.array(back)).when(F.col("relationship_type") == "IMPLIES", F.array(there)).otherwise(F.array(there, back))
-    return found.select(F.inline(ends), "relationship_type", "confidence")
+    implies = F.col("relationship_type") == "IMPLIES"
+    return F.when(implies & (direction == "B_IMPLIES_A"), F.array(back)).when(implies, F.array(there)).otherwise(F.array(there, back))
 
 
 def derive(judged: DataFrame, complements: DataFrame) -> DataFrame:
@@ -135,7 +163,18 @@ def to_write(matches: DataFrame, existing: DataFrame, order: str, least: float,
     return best.join(blocked, ["security_id_a", "security_id_b"], "left_anti")
 
 
+def write_counts(matches: DataFrame, existing: DataFrame, order: str, least: float, new_side: DataFrame | None = None) -> DataFrame:
+    """(written, skipped_low_confidence) of ``to_write``: pairs not there yet whose best match is confident enough, or is not."""
+    every = to_write(matches, existing, order, float("-inf"), new_side)
+    return every.agg(F.count_if(F.col("confidence") >= least).alias("written"), F.count_if(F.col("confidence") < least).alias("skipped_low_confidence"))
+
+
 def allowed_pairs(pairs: DataFrame, allowed: list[str]) -> DataFrame:
     """Pairs of which at least one side's category is allowed or unset."""
     ok = lambda c: F.col(c).isNull() | F.col(c).isin(*allowed)
     return pairs.filter(ok("category_a") | ok("category_b"))
+
+
+def allowed_sources(events: DataFrame, allowed: list[str]) -> DataFrame:
+    """New events that may start a search: of an allowed category or of none; no list allows all."""
+    return events if not allowed else events.filter(F.col("category").isNull() | (F.col("category") == "") | F.col("category").isin(*allowed))

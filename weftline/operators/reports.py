@@ -36,6 +36,14 @@ def sections(rows: DataFrame, section: str, order: str, text: str, most: int) ->
     return joined.select(section, F.concat(F.array_join(F.transform("_l", lambda x: x["t"]), "\n"), more).alias("body"), "n")
 
 
+def listed(rows: DataFrame, group: str, value: str, most: int = 1000) -> DataFrame:
+    """(group, n, values): distinct values in order as one text, the first ``most`` of them, and how many there are."""
+    unique = rows.filter(F.col(value).isNotNull()).select(group, value).distinct()
+    top = unique.withColumn("_rk", F.row_number().over(Window.partitionBy(group).orderBy(value))).filter(F.col("_rk") <= most)
+    texts = top.groupBy(group).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rk", F.col(value).cast("string").alias("v")))), lambda x: x["v"]), ", ").alias("values"))
+    return unique.groupBy(group).agg(F.count(F.lit(1)).alias("n")).join(texts, group)
+
+
 def section_head(kind: Column, n: Column) -> Column:
     """``3 new events``; one is singular."""
     return F.concat_ws(" ", n.cast("string"), kind, F.when(n == 1, "event").otherwise("events"))
