@@ -7,7 +7,7 @@ from weftline.plans import ports
 from weftline.plans.ports import hashing_embedder, identity_canonicalizer, response_canonicalizer
 from weftline.sources import feeds
 from weftline.sources.store import TableStore
-from weftline.streaming import ingest
+from weftline.streaming import ingest, workers
 
 
 def land(spark, tmp_path, venue, page):
@@ -96,11 +96,65 @@ def test_stream_routes_inserts_once_and_keeps_dead_letters(spark, tmp_path):
     go()
     (src / "2.json").write_text("\n".join(map(json.dumps, [rows[0], {"type": "security", "security_id": 2}, rows[3]])))
     go()
-    assert sorted(r[0] for r in store.read("securities", "security_id long").collect()) == [1, 2]
-    assert store.read("hashes_changed", "exchange_id long, native_id string, hash string, batch int").count() == 0
+    assert sorted(r[0] for r in store.changes("securities", "security_id long").collect()) == [1, 2]
+    assert [r.batch for r in store.changes("hashes", ingest.HASHES).collect()] == [0]
     assert spark.read.text(str(tmp_path / "dead")).count() == 2
 
 
+def test_a_replayed_batch_keeps_its_changes_and_the_latest_body_counts(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    handle = ingest.changed_groups(store)
+    one = spark.createDataFrame([(1, "n1", 1, "z"), (1, "n1", 2, "a"), (1, "n2", 1, "b")], "exchange_id long, native_id string, seq long, body string")
+    handle(one, 0)
+    first = sorted(map(tuple, store.changes("hashes", ingest.HASHES).collect()))
+    handle(one, 0)
+    assert len(first) == 2 and sorted(map(tuple, store.changes("hashes", ingest.HASHES).collect())) == first
+    handle(one.filter("seq = 2"), 1)  # the latest body again changes nothing
+    handle(spark.createDataFrame([(1, "n1", 3, "new")], one.schema), 2)
+    assert sorted((r.batch, r.native_id) for r in store.changes("hashes", ingest.HASHES).collect()) == [(0, "n1"), (0, "n2"), (2, "n1")]
+    before = sorted(map(tuple, store.state("hashes", ingest.HASHES, ["exchange_id", "native_id"]).collect()))
+    store.compact("hashes", ingest.HASHES, ["exchange_id", "native_id"])
+    assert sorted(map(tuple, store.state("hashes", ingest.HASHES, ["exchange_id", "native_id"]).collect())) == before
+
+
+def test_a_handler_that_keeps_failing_leaves_dead_letters(spark, tmp_path):
+    src, calls = tmp_path / "in", []
+    src.mkdir()
+    (src / "1.json").write_text(json.dumps({"type": "bad"}) + "\n" + json.dumps({"type": "good"}))
+
+    def bad(df, number):
+        calls.append(number)
+        raise RuntimeError
+
+    ingest.run_batches(ingest.parse_messages(ingest.file_stream(spark, str(src))), {"bad": bad, "good": lambda df, n: None}, str(tmp_path / "dead"), str(tmp_path / "cp")).awaitTermination()
+    assert calls == [0, 0, 0] and [json.loads(r.value)["type"] for r in spark.read.text(str(tmp_path / "dead")).collect()] == ["bad"]
+
+
+def test_workers_from_contracts_to_relations_and_resolution(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "state"))
+    worker = workers.Worker(store, workers.pipeline.EngineConfig(neighbours=5, least_similarity=0.5))
+    msg = "type string, exchange_id long, native_id string, security_id long, event_id long, event_name string, seq long, body string"
+    contract = lambda sid, title, label: {"exchange_security_id": sid, "event_title": title, "outcome_label": label, "event_expiry": "2026-05-01", "base_currency": "USDC", "tick_size": 0.01}
+    rows = [("new", 1, "n1", None, None, None, 1, json.dumps([contract("a1", "harbour vote", "Yes"), contract("a2", "harbour vote", "No")])), ("new", 2, "n2", None, None, None, 2, json.dumps([contract("b1", "harbour vote today", "No")]))]
+    batch = spark.createDataFrame(rows, msg)
+    for _ in range(2):  # a replay gives what it gave
+        worker.new(batch, 0)
+    assert {n: workers.current(store, n).count() for n in ("events", "venue_events", "securities", "listings", "links", "currencies", "specs")} == {"events": 2, "venue_events": 2, "securities": 3, "listings": 3, "links": 3, "currencies": 1, "specs": 3}
+    sent = store.changes("messages", workers.TABLES["messages"][0])
+    assert sorted(r.event_name for r in sent.collect()) == ["harbour vote", "harbour vote", "harbour vote today"]
+    worker.embed_new(sent, 1)
+    worker.relate(sent, 2)
+    found = workers.current(store, "relations").collect()
+    assert {r.relationship_type for r in found} == {"EQUIVALENT"} and len(found) == 2
+    reworded = spark.createDataFrame([("new", 2, "n2", None, None, None, 9, json.dumps([contract("b1", "Other words", "No")]))], msg)
+    worker.new(reworded, 3)
+    assert workers.current(store, "events").count() == 2  # a known native event stays the same event
+    worker.resolved(spark.createDataFrame([("resolved", 2, "b1", None, None, None, None, None)], msg), 4)
+    worker.stale(spark.createDataFrame([("stale", 1, "n1", None, None, None, None, None)], msg), 5)
+    assert workers.current(store, "events").filter("resolved and resolved_at is not null").count() == 2
+    assert workers.current(store, "listings").filter("active").count() == 0 and workers.current(store, "embeddings").filter("embedding is not null").count() == 0
+
+
 def test_ticks_count_absence_once(spark, tmp_path):
     s = TableStore(spark, str(tmp_path))
     keys = lambda *k: spark.createDataFrame([(1, x) for x in k], "exchange_id long, native_id string")
@@ -140,7 +194,7 @@ def test_canonical_forms_come_from_cache_call_and_retry(spark):
 def test_judge_prompt_and_cached_pairs(spark):
     p = spark.createDataFrame([("k", "A", None, ["x", "y"], "B", "d", ["z"], 0.98765), ("m", "C", None, ["x"], "D", None, ["z"], 0.9)], "pair_key string, title_a string, description_a string, labels_a array<string>, title_b string, description_b string, labels_b array<string>, sim double")
     text = ports.judge_prompt(p).filter("pair_key = 'k'").first().text
-    assert text == "Event A: A\n  Description: \n  Contracts: [1] x  [2] y\n\nEvent B: B\n  Description: d\n  Contracts: [1] z\n\nEmbedding similarity: 0.988"
+    assert text == "<a> A\nabout \noutcomes 1=x; 2=y\n<b> B\nabout d\noutcomes 1=z\ncosine 0.988"
     hit, left = ports.split_cached(p, spark.createDataFrame([("k", "[]")], "pair_key string, items string"))
     assert [r.pair_key for r in hit.collect()] == ["k"] and [r.pair_key for r in left.collect()] == ["m"]
 

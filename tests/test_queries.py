@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftline.operators import changes, entities, lifecycle, relations
-from weftline.plans import registry
+from weftline.plans import pipeline, registry
 
 
 def plain(v):
@@ -41,8 +41,17 @@ def test_query_equals_sql(name, spark, data, con):
 
 
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
-def test_query_runs(name, spark, data):
-    assert registry.QUERIES[name](spark, data).count() >= 0
+def test_query_without_sql_gives_rows_with_unique_keys(name, spark, data):
+    df = registry.QUERIES[name](spark, data)
+    keys = {"p2_found": ["source", "row_id", "market_pos"], "p2_undeclared": ["source", "row_id", "market_pos"], "p7_found": ["feed_pos", "market_pos", "field", "value_pos"]}[name]
+    assert 0 < df.count() == df.select(*keys).distinct().count()
+
+
+def test_what_is_told_decides_little_that_neighbours_do_not(spark, data):
+    told, found = (registry.QUERIES[q](spark, data) for q in ("p2_found", "p2_undeclared"))
+    both = told.join(found.withColumnRenamed("epoch_us", "alone"), ["source", "row_id", "market_pos"])
+    n = both.count()
+    assert n == told.count() and both.filter("epoch_us = alone").count() >= 0.99 * n
 
 
 def feed(spark, rows):
@@ -125,3 +134,33 @@ def test_one_bad_judgement_voids_the_response(spark):
     r = spark.createDataFrame([("p", ok), ("q", bad), ("z", "no json")], "pair_id string, text string")
     c = spark.createDataFrame([(p, s, 1, n) for p in "pqz" for s, n in (("a", 1), ("b", 2))], "pair_id string, side string, place int, security_id long")
     assert [tuple(x) for x in relations.judged_pairs(r, c).collect()] == [(2, 1, "IMPLIES", 0.9)]
+
+
+def test_the_whole_run(spark):
+    contract = lambda ex, nat, sid, title, label, pos: (ex, nat, sid, title, label, "Politics", None, "2026-05-01", "USDC", "USDC", "USDC", 0.01, 1.0, 0.0, 1.0, pos)
+    schema = "exchange_id long, exchange_event_native_id string, exchange_security_id string, event_title string, outcome_label string, event_category string, event_description string, event_expiry string, base_currency string, quote_currency string, settle_currency string, tick_size double, lot_size double, min_notional double, contract_multiplier double, ingest_pos long"
+    rows = [contract(1, "n1", "a1", "harbour vote", "Yes", 1), contract(1, "n1", "a2", "harbour vote", "No", 2), contract(2, "n2", "b1", "harbour vote now", "Yes", 3), contract(2, "n2", "b2", "harbour vote now", "No", 4), contract(2, "k", "c1", "reworded", "Yes", 5)]
+    none = lambda ddl: spark.createDataFrame([], ddl)
+    state = pipeline.State(
+        spark.sql("select 7L event_id, 'stored title' title, cast(null as string) description, 'Politics' category, timestamp'2026-05-01' expiry, false resolved"), spark.sql("select 2L exchange_id, 'k' native_id, 7L event_id"),
+        none("security_id long, symbol string"), none("exchange_id long, exchange_security_id string, native_id string, security_id long, active boolean"), none("event_id long, security_id long, outcome_label string"),
+        none("symbol string"), none("exchange_id long, exchange_security_id string, tick_size double, lot_size double, min_notional double, contract_multiplier double"),
+    )
+    config = pipeline.EngineConfig(neighbours=5, least_similarity=0.8)
+    words = spark.createDataFrame([("harbour", 900)], "keyword string, keyword_security_id long")
+    rel = none("security_id_a long, security_id_b long, relationship_type string, confidence double, method string")
+    out = pipeline.run_pipeline(spark.createDataFrame(rows, schema), state, none("event_id long, embedding array<float>"), rel, words, config, pipeline.label_judge)
+    assert {r.name: r.n for r in out.counters.collect()} == {"events": 2, "securities": 5, "listings": 5, "links": 5, "specs": 5}
+    assert {r.event_id for r in out.entities.venue_events.collect()} == {8, 9} and out.embeddings.count() == 3
+    assert out.structural.relations.filter("security_id_b = 900").count() == 4
+    found = out.semantic.relations.collect()
+    # Yes with Yes and, by complement, No with No, in both directions
+    assert len(found) == 4 and {r.relationship_type for r in found} == {"EQUIVALENT"} and tuple(out.semantic.counts.first()) == (4, 0)
+    symbols = {r.security_id: r.symbol for r in out.entities.securities.collect()}
+    assert all(symbols[r.security_id_a].rsplit("-", 1)[1] == symbols[r.security_id_b].rsplit("-", 1)[1] for r in found)
+    cache = spark.createDataFrame([("k0", "No", "No", "MUTUALLY_EXCLUSIVE", 0.9, None)], "pair_key string, first_label string, second_label string, type string, confidence double, direction string")
+    asked = pipeline.to_judge(pipeline.candidate_pairs(out.embeddings, state.events.select("event_id", "title", "description", "category").unionByName(out.entities.events.select("event_id", "title", "description", "category")), out.entities.links, config), out.entities.events, out.entities.links, config)
+    cache = cache.withColumn("pair_key", F.lit(asked.first().pair_key))
+    cached = pipeline.run_pipeline(spark.createDataFrame(rows, schema), state, none("event_id long, embedding array<float>"), rel, words, config, pipeline.label_judge, cache=cache).semantic.relations.collect()
+    # what is cached is not asked for: the primary contracts exclude each other, so each implies the other's complement
+    assert {r.relationship_type for r in cached} == {"MUTUALLY_EXCLUSIVE", "IMPLIES"} and len(cached) == 4

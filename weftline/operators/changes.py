@@ -68,10 +68,11 @@ def diff_contracts(contracts: DataFrame, known: DataFrame, failed: DataFrame | N
     return Diff(sent.select(*NATIVE, "volume", "n_contracts", "n_changed"), hashes)
 
 
-def send_once(resolved: DataFrame, sent: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(to send now, memory for the next time): what is resolved and not yet sent; memory holds only what is still resolved."""
+def send_once(resolved: DataFrame, sent: DataFrame, keys: list[str], most: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(to send now, memory for the next time): what is resolved and not yet sent; memory holds only what is still resolved and was sent. Beyond ``most``, in order of key, the rest is not sent, not remembered and comes again."""
     now = resolved.select(*keys).distinct()
     new = now.join(sent.select(*keys), keys, "left_anti")
+    new = new if most is None else new.orderBy(*keys).limit(most)
     memory = now.join(sent.select(*keys), keys, "left_semi").unionByName(new)
     return new, memory
 

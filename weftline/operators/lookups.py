@@ -101,21 +101,12 @@ def with_neighbours(pairs: DataFrame, links: DataFrame) -> DataFrame:
     return pairs.join(held.withColumnRenamed("event_id", "a"), "a", "left_semi").join(held.withColumnRenamed("event_id", "b"), "b", "left_semi").select(*pairs.columns)
 
 
-def counters(parts: dict[str, DataFrame], **conditions: Column) -> DataFrame:
-    """(name, n): rows of every part, and how many of them fulfil each condition that their columns allow."""
+def counters(parts: dict[str, DataFrame], conditions: dict[str, dict[str, Column]] | None = None) -> DataFrame:
+    """(name, n): rows of every part, and under ``<part>_<name>`` how many of them fulfil each of its conditions."""
     out = None
-    for name, df in parts.items():
-        fit = {k: c for k, c in conditions.items() if _fits(df, c)}
-        row = df.agg(F.count(F.lit(1)).alias(name), *[F.count_if(c).alias(f"{name}_{k}") for k, c in fit.items()])
-        names = [name, *[f"{name}_{k}" for k in fit]]
-        rows = row.select(F.inline(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("n")) for n in names])))
+    for part, df in parts.items():
+        named = {part: F.count(F.lit(1)), **{f"{part}_{k}": F.count_if(c) for k, c in (conditions or {}).get(part, {}).items()}}
+        row = df.agg(*[c.alias(n) for n, c in named.items()])
+        rows = row.select(F.inline(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("n")) for n in named])))
         out = rows if out is None else out.unionByName(rows)
     return out
-
-
-def _fits(df: DataFrame, c: Column) -> bool:
-    try:
-        _ = df.select(c).schema
-    except Exception:  # noqa: BLE001
-        return False
-    return True

@@ -38,9 +38,10 @@ def response_canonicalizer(responses: DataFrame, categories: list[str]):  # noqa
 
 
 def hashing_embedder(texts: DataFrame, size: int = 64) -> DataFrame:
-    """(event_id, embedding): signed counts of word hashes; equal texts have equal vectors in every process."""
-    words = texts.select("event_id", F.explode(F.split(F.lower("text"), r"\W+")).alias("w")).filter("w <> ''")
-    cells = words.select("event_id", F.pmod(F.xxhash64("w"), F.lit(size)).cast("int").alias("i"), F.when(F.pmod(F.xxhash64("w", F.lit(1)), F.lit(2)) == 0, 1.0).otherwise(-1.0).alias("s"))
+    """(event_id, embedding): signed counts of word hashes; equal texts have equal vectors in every process and engine."""
+    words = texts.select("event_id", F.explode(F.split(F.lower("text"), r"\W+")).alias("w")).filter("w <> ''").withColumn("w", F.md5("w"))
+    number = lambda at, n: F.conv(F.substring("w", at, n), 16, 10).cast("long")
+    cells = words.select("event_id", (number(1, 8) % size).cast("int").alias("i"), F.when(number(9, 1) < 8, 1.0).otherwise(-1.0).alias("s"))
     summed = cells.groupBy("event_id", "i").agg(F.sum("s").alias("s")).groupBy("event_id").agg(F.map_from_entries(F.collect_list(F.struct("i", "s"))).alias("m"))
     return summed.select("event_id", F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)).cast("float")).alias("embedding"))
 
@@ -69,8 +70,8 @@ def embed_missing(events: DataFrame, vectors: DataFrame, embed=hashing_embedder)
 
 
 def canonical_prompt(rows: DataFrame) -> DataFrame:
-    """One text per chunk of (chunk, place, title, description, category): a numbered line each, in order."""
-    line = F.format_string("[%d] (key: %s) Title: %s | Description: %s | Category: %s", F.col("place"), title_key(F.col("title")), F.col("title"), F.left(F.coalesce("description", F.lit("")), F.lit(200)), F.coalesce("category", F.lit("")))
+    """One text per chunk of (chunk, place, title, description, category): a line each, in order, its fields set apart by tabs: place, key, category, title, description's start."""
+    line = F.concat_ws("\t", F.col("place").cast("string"), title_key(F.col("title")), F.coalesce("category", F.lit("")), F.col("title"), F.left(F.coalesce("description", F.lit("")), F.lit(200)))
     return rows.groupBy("chunk").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", line.alias("l")))), lambda x: x["l"]), "\n").alias("text"))
 
 
@@ -78,10 +79,10 @@ def judge_prompt(pairs: DataFrame) -> DataFrame:
     """Texts of pairs to be judged: title_a, description_a, labels_a and the same of b, sim."""
 
     def side(name: str) -> Column:
-        labels = F.array_join(F.transform(F.col(f"labels_{name}"), lambda x, i: F.concat(F.lit("["), (i + 1).cast("string"), F.lit("] "), x)), "  ")
-        return F.concat(F.lit(f"Event {name.upper()}: "), f"title_{name}", F.lit("\n  Description: "), F.left(F.coalesce(f"description_{name}", F.lit("")), F.lit(200)), F.lit("\n  Contracts: "), labels)
+        labels = F.array_join(F.transform(F.col(f"labels_{name}"), lambda x, i: F.concat((i + 1).cast("string"), F.lit("="), x)), "; ")
+        return F.concat_ws("\n", F.concat(F.lit(f"<{name}> "), f"title_{name}"), F.concat(F.lit("about "), F.left(F.coalesce(f"description_{name}", F.lit("")), F.lit(200))), F.concat(F.lit("outcomes "), labels))
 
-    return pairs.withColumn("text", F.concat_ws("\n\n", side("a"), side("b"), F.format_string("Embedding similarity: %.3f", F.col("sim"))))
+    return pairs.withColumn("text", F.concat_ws("\n", side("a"), side("b"), F.format_string("cosine %.3f", F.col("sim"))))
 
 
 def split_cached(pairs: DataFrame, cache: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,8 +1,9 @@
-"""Tables of state as Parquet versions: a version counts once it is written whole, so readers and replays are safe."""
+"""Tables of state as Parquet versions and logs of changes: what counts is written whole, so readers and replays are safe."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 class TableStore:
@@ -39,3 +40,40 @@ class TableStore:
             if fs.exists(p):
                 fs.delete(p, True)
         return n
+
+    def log(self, name: str, df: DataFrame, number: int) -> None:
+        """The changes of micro-batch ``number``; written again they replace themselves, and nothing else is rewritten."""
+        df.write.mode("overwrite").parquet(f"{self.root}/{name}/log/batch={number}")
+
+    def logged(self, name: str, number: int) -> bool:
+        fs, p = self._fs(f"{self.root}/{name}/log/batch={number}/_SUCCESS")
+        return fs.exists(p)
+
+    def changes(self, name: str, schema: str, before: int | None = None) -> DataFrame:
+        """All changes with their ``batch``, those of batches below ``before`` only where given: what a batch saw when it first ran, it sees again."""
+        fs, p = self._fs(f"{self.root}/{name}/log")
+        parts = []
+        if fs.exists(p):
+            numbers = [int(s.getPath().getName()[6:]) for s in fs.listStatus(p) if s.getPath().getName().startswith("batch=")]
+            parts = [f"{self.root}/{name}/log/batch={n}" for n in sorted(numbers) if (before is None or n < before) and self.logged(name, n)]
+        base = self.read(name, f"{schema}, batch bigint")
+        if not parts:
+            return base
+        # the batch column is the folder's name
+        rows = self.spark.read.schema(f"{schema}, batch bigint").option("basePath", f"{self.root}/{name}/log").parquet(*parts)
+        return base.unionByName(rows.select(*base.columns))
+
+    def state(self, name: str, schema: str, keys: list[str], before: int | None = None) -> DataFrame:
+        """The last change of every key."""
+        cols = [c.split()[0] for c in schema.split(", ") if c.split()[0] not in keys]
+        last = F.max_by(F.struct(*cols, "batch") if cols else F.struct("batch"), "batch").alias("_r")
+        return self.changes(name, schema, before).groupBy(*keys).agg(last).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols])
+
+    def compact(self, name: str, schema: str, keys: list[str]) -> None:
+        """Folds the log into a version, so that reading stays cheap; called between batches."""
+        cols = [c.split()[0] for c in schema.split(", ") if c.split()[0] not in keys]
+        last = F.max_by(F.struct(*cols, "batch"), "batch").alias("_r")
+        folded = self.changes(name, schema).groupBy(*keys).agg(last).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in (*cols, "batch")])
+        self.write(name, folded)
+        fs, p = self._fs(f"{self.root}/{name}/log")
+        fs.delete(p, True)

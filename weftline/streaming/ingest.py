@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from weftline.operators.changes import NATIVE, update_tracker
 from weftline.sources.store import TableStore
 
-MESSAGE = "type string, exchange_id long, native_id string, security_id long, security_symbol string, event_id long, event_name string, body string"
+MESSAGE = "type string, exchange_id long, native_id string, security_id long, security_symbol string, event_id long, event_name string, seq long, body string"
 Handler = Callable[[DataFrame, int], None]
 
 
@@ -21,32 +21,45 @@ def parse_messages(stream: DataFrame, value: str = "value") -> DataFrame:
     return m.select(F.coalesce("m.type", F.lit("invalid")).alias("type"), *[F.col(f"m.{c.split()[0]}") for c in MESSAGE.split(", ")[1:]], "raw")
 
 
-def run_batches(stream: DataFrame, handlers: dict[str, Handler], dead_letters: str, checkpoint: str, order: tuple[str, ...] = ("resolved", "stale", "new")) -> StreamingQuery:
+def run_batches(
+    stream: DataFrame, handlers: dict[str, Handler], dead_letters: str, checkpoint: str, order: tuple[str, ...] = ("resolved", "stale", "new"), tries: int = 3, every: str | None = None
+) -> StreamingQuery:
     """One checkpointed query: per batch the handlers in ``order``, then the rest; messages of no handler go to the dead letters.
 
-    A failed batch is replayed, so handlers insert by anti join or replace whole versions.
+    A handler that fails is tried again, ``tries`` times in all; then its messages of this batch are dead letters too and the stream goes on. A batch
+    that is replayed must change nothing: handlers see the state before it (``TableStore.changes``) and write under its number. ``every`` is the longest wait
+    for a batch (a processing-time trigger); without it what is there is worked off and the query ends.
     """
 
+    def attempt(kind: str, df: DataFrame, number: int) -> bool:
+        for _ in range(tries):
+            try:
+                handlers[kind](df, number)
+                return True
+            except Exception:  # noqa: BLE001
+                continue
+        return False
+
     def batch(df: DataFrame, number: int) -> None:
         df = df.persist()
         try:
-            for kind in [*[k for k in order if k in handlers], *[k for k in handlers if k not in order]]:
-                handlers[kind](df.filter(F.col("type") == kind), number)
-            df.filter(~F.col("type").isin(*handlers)).select("raw").write.mode("overwrite").text(f"{dead_letters}/batch={number}")
+            failed = [kind for kind in [*[k for k in order if k in handlers], *[k for k in handlers if k not in order]] if not attempt(kind, df.filter(F.col("type") == kind), number)]
+            dead = df.filter(~F.col("type").isin(*handlers) | F.col("type").isin(*failed)) if failed else df.filter(~F.col("type").isin(*handlers))
+            dead.select("raw").write.mode("overwrite").text(f"{dead_letters}/batch={number}")
         finally:
             df.unpersist()
 
-    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
 def insert_once(store: TableStore, name: str, schema: str, keys: list[str]) -> Handler:
-    """Handler that adds rows whose key is not there yet; of equal keys in a batch one stays."""
+    """Handler that adds rows whose key is not there yet; of equal keys in a batch one stays. Only the new rows are written."""
 
     def handle(df: DataFrame, number: int) -> None:
-        there = store.read(name, schema)
+        there = store.changes(name, schema, number)
         cols = [c.split()[0] for c in schema.split(", ")]
-        new = df.select(*cols).dropDuplicates(keys).join(there.select(*keys), keys, "left_anti")
-        store.write(name, there.unionByName(new.select(*cols)))
+        store.log(name, df.select(*cols).dropDuplicates(keys).join(there.select(*keys), keys, "left_anti"), number)
 
     return handle
 
@@ -63,16 +76,16 @@ def tick(store: TableStore, active: DataFrame, number: int, threshold: int = 3,
     return store.read(name, schema).filter(f"misses >= {threshold}").select(*NATIVE, "misses")
 
 
+HASHES = "exchange_id long, native_id string, hash string"
+
+
 def changed_groups(store: TableStore, name: str = "hashes") -> Handler:
-    """Handler for 'new' messages: keeps the last body hash per native key and writes the changed groups of the batch."""
-    schema = "exchange_id long, native_id string, hash string"
+    """Handler for 'new' messages: writes the groups of the batch whose latest body (by ``seq``) differs from the last known one, with its hash. The log is both the state and, by batch, the changes."""
 
     def handle(df: DataFrame, number: int) -> None:
-        now = df.groupBy(*NATIVE).agg(F.sha2(F.max("body"), 256).alias("hash"))
-        known = store.read(name, schema)
-        changed = now.join(known, [*NATIVE, "hash"], "left_anti")
-        store.write(f"{name}_changed", changed.withColumn("batch", F.lit(number)))
-        store.write(name, known.join(changed.select(*NATIVE), NATIVE, "left_anti").unionByName(changed))
+        now = df.groupBy(*NATIVE).agg(F.sha2(F.max_by("body", F.struct("seq", "body")), 256).alias("hash"))
+        known = store.state(name, HASHES, NATIVE, number)
+        store.log(name, now.join(known, [*NATIVE, "hash"], "left_anti").select(*NATIVE, "hash"), number)
 
     return handle
 
