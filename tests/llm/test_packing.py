@@ -58,6 +58,22 @@ def test_whole_items_in_full_containers(spark):
     assert {r.container_kind for r in rows} == {"s", "l"}
 
 
+def test_a_kind_with_two_capacities_and_very_many_kinds(spark):
+    rows = packed(spark, [(1, 4), (2, 6)], [("s", 10), ("s", 5), ("s", 10), (None, 6)])
+    got = sorted((r.container_kind or "", r.capacity, r.container_no, r.item, r.piece_no, r.tokens) for r in rows)
+    assert [g for g in got if g[:2] == ("s", 10)] == [("s", 10, 1, 1, 0, 4), ("s", 10, 1, 2, 0, 6)]
+    assert [g[3:] for g in got if g[:2] == ("s", 5)] == [(2, 0, 5), (1, 0, 4), (2, 1, 1)] and len([g for g in got if g[0] == ""]) == 2
+    assert len(packed(spark, [(1, 4)], [(f"k{i}", 10 + i) for i in range(1200)])) == 1200
+
+
+def test_places_found_by_binary_search(spark):
+    rows = packed(spark, [(i, 1 + i % 97) for i in range(3000)], [("s", 100)])
+    load = defaultdict(int)
+    for r in rows:
+        load[r.container_no] += r.tokens
+    assert len(rows) == 3000 and max(load.values()) <= 100 and sum(load.values()) == sum(1 + i % 97 for i in range(3000))
+
+
 def test_nothing_to_pack(spark):
     assert packed(spark, [], [("s", 10)]) == [] and packed(spark, [(1, 2)], []) == []
 

@@ -9,24 +9,26 @@ the counts allow, then removed. Which item goes where follows from ranks within
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from weftline.session import cut
+from weftline.session import cut, once
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how byte-level BPE vocabularies of this family part a text before merging.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Groups in which the items of one length are ranked, so that a length that very many share is no single task.
 RANK_GROUPS = 64
-#: Kinds of containers that may be packed for at once; beyond that it is an error, as each kind is a plan of its own.
-MOST_KINDS = 1000
+#: Steps of the binary search among the places where a length is used.
+SEARCH = [1 << k for k in range(20, -1, -1)]
 
 
 @lru_cache(maxsize=2)
@@ -43,8 +45,12 @@ def _encoding(path: str):  # noqa: ANN202
 def count_tokens(df: DataFrame, key: str, text: str, tokenizer: str = TOKENIZER) -> DataFrame:
     """Rows ``(item, tokens)``: whole texts counted with a public tokenizer; null and empty texts have 0."""
 
+    # the vocabulary goes with the job, so no executor needs the path
+    df.sparkSession.sparkContext.addFile(tokenizer)
+    name = tokenizer.rsplit("/", 1)[-1]
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(tokenizer).encode_ordinary
+        encode = _encoding(SparkFiles.get(name)).encode_ordinary
         for batch in batches:
             tokens = pa.array([len(encode(t)) if t else 0 for t in batch.column("text").to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("item"), tokens], names=["item", "tokens"])
@@ -112,19 +118,18 @@ def min_bin_slack(capacity: int, histogram: dict[int, int]) -> list[tuple[int, l
 
 
 def pack(items: DataFrame, sizes: DataFrame, kind: str, capacity: str) -> DataFrame:
-    """Rows ``(kind, container_no, item, piece_no, tokens)``: every item in a container of every kind.
+    """Rows ``(kind, capacity, container_no, item, piece_no, tokens)``: every item in a container of every kind and capacity.
 
     ``items`` has item and tokens, ``sizes`` one row per kind of container (few rows). An item
     longer than the capacity, and only such a one, is cut: whole containers first, the rest like an item of its own. Items of
     0 tokens take no room and lie in container 0, which holds nothing else. Null capacities and
-    capacities below 1 hold nothing and give no rows. Repeated item keys are separate items; an empty table gives no rows.
+    capacities below 1 hold nothing and give no rows; a kind given with two capacities is packed for each of them, repeated rows once.
+    Repeated item keys are separate items; an empty table gives no rows.
     """
     counted = items.select("item", "tokens")
-    kinds = sizes.select(F.col(kind).alias("kind"), F.col(capacity).cast("long").alias("cap")).filter("cap >= 1").distinct().limit(MOST_KINDS + 1).collect()
-    if len(kinds) > MOST_KINDS:
-        raise ValueError(f"more than {MOST_KINDS} kinds of containers")
-    every = F.array(*[F.struct(F.lit(k["kind"]).alias("kind"), F.lit(k["cap"]).cast("long").alias("cap")) for k in kinds]).cast("array<struct<kind:string,cap:bigint>>")
-    pieces = counted.select("item", "tokens", F.inline(every)).select(
+    kinds = sizes.select(F.col(kind).alias("kind"), F.col(capacity).cast("long").alias("cap")).filter("cap >= 1").distinct()
+    every = kinds.select(F.collect_list(F.struct("kind", "cap"))).scalar()
+    pieces = counted.withColumn("every", every).select("item", "tokens", F.inline("every")).select(
         "kind",
         "cap",
         "item",
@@ -139,7 +144,7 @@ def pack(items: DataFrame, sizes: DataFrame, kind: str, capacity: str) -> DataFr
     salted = pieces.withColumn("salt", salt)
     # items per length and salt; the sum over salts is the histogram, its running sum gives each salt's first rank
     part = salted.groupBy("kind", "cap", "n", "salt").agg(F.count(F.lit(1)).alias("c"))
-    base = part.withColumn("base", F.sum("c").over(Window.partitionBy("kind", "n").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))).na.fill(0, ["base"])
+    base = part.withColumn("base", F.sum("c").over(Window.partitionBy("kind", "cap", "n").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))).na.fill(0, ["base"])
     histogram = part.groupBy("kind", "cap", "n").agg(F.sum("c").alias("c")).filter("n > 0")
 
     def plan(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -148,20 +153,28 @@ def pack(items: DataFrame, sizes: DataFrame, kind: str, capacity: str) -> DataFr
         for bins, combination in min_bin_slack(cap, dict(zip(pdf["n"].astype(int), pdf["c"].astype(int), strict=True))):
             for n, times in combination:
                 start = used.get(n, 0)
-                rows.append((pdf["kind"].iloc[0], n, start, times, at))
+                rows.append((n, start, times, at))
                 used[n] = start + bins * times
             at += bins
-        return pd.DataFrame(rows, columns=["kind", "n", "first", "times", "bin"])
-
-    # at most capacity + 1 rows per kind reach one task
-    patterns = histogram.groupBy("kind").applyInPandas(plan, "kind string, n int, first bigint, times int, bin bigint")
-    slots = patterns.groupBy("kind", "n").agg(F.array_sort(F.collect_list(F.struct("first", "times", "bin"))).alias("slots"))
-    order = Window.partitionBy("kind", "n", "salt").orderBy("item", "piece_no")
-    ranked = salted.withColumn("rank", F.row_number().over(order) - 1).join(base.select("kind", "n", "salt", "base"), ["kind", "n", "salt"])
-    placed = ranked.join(slots, ["kind", "n"], "left").withColumn("rank", F.col("rank") + F.col("base"))
-    slot = F.element_at(F.filter("slots", lambda s: s["first"] <= F.col("rank")), -1)
-    number = F.when(F.col("n") == 0, F.lit(0).cast("long")).otherwise(slot["bin"] + F.floor((F.col("rank") - slot["first"]) / slot["times"]))
-    return placed.select(F.col("kind").alias(kind), number.alias("container_no"), "item", "piece_no", F.col("n").alias("tokens"))
+        return pd.DataFrame(rows, columns=["n", "first", "times", "bin"]).assign(kind=pdf["kind"].iloc[0], cap=cap)
+
+    # at most capacity + 1 rows per kind and capacity reach one task
+    of = ["kind", "cap"]
+    patterns = histogram.groupBy(*of).applyInPandas(plan, "kind string, cap bigint, n int, first bigint, times int, bin bigint")
+    slots = patterns.groupBy(*of, "n").agg(F.array_sort(F.collect_list(F.struct("first", "times", "bin"))).alias("slots"))
+    order = Window.partitionBy(*of, "n", "salt").orderBy("item", "piece_no")
+    same = lambda left, right, *cols: functools.reduce(lambda x, y: x & y, [left[c].eqNullSafe(right[c]) for c in cols])
+    ranked = salted.withColumn("rank", F.row_number().over(order) - 1)
+    starts = base.select(*of, "n", "salt", "base")
+    ranked = ranked.join(starts, same(ranked, starts, *of, "n", "salt")).select(*[ranked[c] for c in (*of, "item", "piece_no", "n")], (F.col("rank") + F.col("base")).alias("rank"))
+    placed = ranked.join(slots, same(ranked, slots, *of, "n"), "left").select(*[ranked[c] for c in (*of, "item", "piece_no", "n", "rank")], "slots")
+    # the last of the places that begins at or before the rank, by binary search
+    steps = F.array(*[F.lit(k) for k in SEARCH])
+    at = F.aggregate(steps, F.lit(0), lambda at, k: F.when(F.coalesce(F.get("slots", at + k)["first"] <= F.col("rank"), F.lit(False)), at + k).otherwise(at))
+    slot = F.get("slots", at)
+    placed = once(placed, slot=slot)
+    number = F.when(F.col("n") == 0, F.lit(0).cast("long")).otherwise(F.col("slot.bin") + F.floor((F.col("rank") - F.col("slot.first")) / F.col("slot.times")))
+    return placed.select(F.col("kind").alias(kind), F.col("cap").alias("capacity"), number.alias("container_no"), "item", "piece_no", F.col("n").alias("tokens"))
 
 
 def pack_texts(docs: DataFrame, key: str, text: str, sizes: DataFrame, kind: str, capacity: str, tokenizer: str = TOKENIZER) -> DataFrame:

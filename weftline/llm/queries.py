@@ -64,7 +64,7 @@ def p8_pack(spark: SparkSession, folder: str) -> DataFrame:
     """Every document in containers of every kind."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     packed = pack_texts(docs, "doc_id", "text", table(spark, folder, "container_size"), "container_kind", "capacity_tokens")
-    return packed.withColumnRenamed("item", "doc_id")
+    return packed.drop("capacity").withColumnRenamed("item", "doc_id")
 
 
 def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
