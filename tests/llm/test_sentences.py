@@ -30,6 +30,19 @@ def test_sentences_with_spaces_between(spark, want):
     assert units(spark, " ".join(want)) == want
 
 
+def test_addresses_files_and_decimals_stay_whole(spark):
+    text = "See https://example.org/Page.Html?x=1.Then for more. Next one. Mail Jo.Doe@post.Example.Org today! Open readme.Md of v1.Beta (at www.Site.Example/A.B).Then 3.5 and 1.250,5 hold. Done"
+    want = ["See https://example.org/Page.Html?x=1.Then for more.", "Next one.", "Mail Jo.Doe@post.Example.Org today!", "Open readme.Md of v1.Beta (at www.Site.Example/A.B).", "Then 3.5 and 1.250,5 hold.", "Done"]
+    assert units(spark, text) == want
+
+
+def test_abbreviations_belong_to_a_language(spark):
+    rows = [(1, " DE ", "Er zahlte rd. Hundert. Ende."), (2, "en", "He took the rd. Hundred. End."), (3, None, "Er zahlte rd. Hundert. Ende."), (4, "xx", "Er zahlte rd. Hundert. Ende.")]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    got = sentence_units(df, ["doc_id"], "text", F.lit(False), F.col("lang")).groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in got} == {1: 2, 2: 3, 3: 2, 4: 2}
+
+
 def test_scripts_without_spaces(spark):
     zh = ["以下两项成立：（一）水闸有效；（二）期限未过。", "证人称：“若桥梁早已登记，共有的保险就不必再转让。另查明无关。”", "被告是否知情？", "原告主张保险已灭失……但未举证。"]
     assert units(spark, "".join(zh)) == zh

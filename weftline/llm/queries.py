@@ -87,8 +87,8 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     """Sentence units of all documents by code point offsets."""
-    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
-    units = sentence_units(docs, ["doc_id"], "text", F.lower(F.trim("source")).isin("scan", "bulletin"))
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
+    units = sentence_units(docs, ["doc_id"], "text", F.lower(F.trim("source")).isin("scan", "bulletin"), F.col("lang"))
     return units.select("doc_id", "sent_start", "sent_end")
 
 
