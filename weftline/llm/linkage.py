@@ -1,12 +1,15 @@
 """Matching contracts of different venues without a shared key.
 
-Each contract's title and label are reduced to what identifies the outcome: the day (or month)
-it is about, the numbers in it, the class of its label, and the remaining words. The words'
-q-grams go into a fixed bit vector. Pairs within ``RADIUS`` bits are found exactly by
-multi-index Hamming hashing: the vector is cut into ``RADIUS + 1`` chunks, and two vectors that
-differ in at most ``RADIUS`` bits agree in at least one chunk. Day, numbers and label class
+What a title is about is learned from the table itself, not from a list. A word identifies a contract
+where descriptions repeat it and mention it seldom otherwise (``P(described | in title)`` above its share of all
+descriptions, times ``P(in title | described)``), or where it is capitalised inside titles that are not written in capitals
+throughout; other words only word the question. Slips of the pen go to the word of the own description, or to a far more
+frequent common word, one edit away. The q-grams of the identifying words and of the label's core go into a fixed bit vector. Pairs
+within ``RADIUS`` bits are found exactly by multi-index Hamming hashing: the vector is cut into ``RADIUS + 1`` chunks, and two
+vectors that differ in at most ``RADIUS`` bits agree in at least one chunk. Day, numbers and label class
 must agree exactly (another day or threshold is another contract), so they are part of every
-bucket's key. Close pairs are scored by field-weighted Dice and the score becomes a confidence.
+bucket's key. Close pairs are scored by field-weighted Dice, the score becomes a confidence, and pairs from ``LEAST`` on are held to an
+exact check: every identifying word has its partner.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.session import cut
+from weftline.session import written
 
 RADIUS = 12
 CHUNK_BITS = 16
@@ -28,20 +31,13 @@ CHUNKS = RADIUS + 1
 BITS = CHUNKS * CHUNK_BITS
 #: Weights of title, label, expiry and description in the score.
 WEIGHTS = (0.5, 0.3, 0.1, 0.1)
-#: Logistic curve from score to confidence: a balanced fit on pairs that agree in all that must agree and lie within twice the
-#: radius (3 155 that pass the exact check, 3 819 that fail it).
-SLOPE, MIDDLE = 65.0, 0.79
-
-#: Words that word a question and name no part of it; a word one letter off a long one counts as it.
-FILLERS = frozenset(
-    """a about above against an and approval approve approved approves at be become before below beyond by clear cleared close
-    closes closing contest daily day deadline degrees election end ends exceed final finish for from get gets high higher highest
-    hit how if in into is it its last later launch launched launches left lose made make market match max maximum meet meeting more
-    next no of off on open or out over pass place plan price race reach reading release released releases reading result rise
-    settle ship sign stay temp temperature than that the their this to today top trade under until up versus vote vs v warm was
-    what when which who whom will win winner winning wins with won yes dollars dollar usd us""".split()
-) - {"open"}
-_LONG = tuple(w for w in sorted(FILLERS) if len(w) >= 5)
+#: Logistic curve from score to confidence, and the least confidence of a match. See README for how it was fitted and held to other pairs.
+SLOPE, MIDDLE, LEAST = 40.0, 0.74, 0.5
+#: A word identifies from this weight on. Weights lean on PRIOR observations at the word's share of capitals, and at REST where its case tells nothing.
+IDENTIFIES, PRIOR, REST = 0.5, 6.0, 0.7
+#: A common word so many times as frequent as one an edit away is what that one was meant to be.
+MEANT = 10
+
 _MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 _MON = r"([a-z]{3,10})\.?"
 _DATES = (
@@ -86,13 +82,15 @@ def _month(word: str) -> int:
     return 0
 
 
-@lru_cache(maxsize=1 << 18)
-def _filler(word: str) -> bool:
-    return word in FILLERS or len(word) >= 4 and any(w[0] == word[0] and near(word, w) for w in _LONG)
+@lru_cache(maxsize=1 << 20)
+def _slip(word: str, other: str) -> bool:
+    return near(word, other)
 
 
 def plain(text: str) -> str:
     """Lower case, compatibility forms, no accents, single spaces."""
+    if text.isascii():
+        return " ".join(text.lower().split())
     text = unicodedata.normalize("NFKD", text)
     return " ".join("".join(c for c in text if not unicodedata.combining(c)).lower().split())
 
@@ -138,16 +136,30 @@ def label_of(label: str, title_words: set[str]) -> tuple[str, str]:
     return "name", max(words, key=lambda w: (len(w), w))
 
 
-def identity(title: str | None, label: str | None, description: str | None, expiry: str | None) -> tuple:
-    """(day, numbers, label class, label core, words of title) that identify a contract."""
+def _words(text: str) -> list[str]:
+    return [w for w in _WORD.findall(text) if len(w) > 1]
+
+
+def parsed(title: str | None, label: str | None, description: str | None, expiry: str | None) -> tuple:
+    """(day, numbers, label class, label core, words of title, words of description or null, capitals, day of expiry); capitals holds 1 or 0 for title words whose case tells something, 2 for first words."""
     t = plain(title or "")
     day, rest = dates_of(t)
-    if not day:
-        day = dates_of(plain(description or ""))[0] or dates_of(plain(expiry or ""))[0]
+    of, about = dates_of(plain(description or ""))
+    expires = dates_of(plain(expiry or ""))[0]
     found, rest = numbers_of(rest)
-    words = sorted({w for w in _WORD.findall(rest) if len(w) > 1 and not _filler(w)})
-    kind, core = label_of(label or "", set(words))
-    return day, " ".join(f"{x:g}" for x in found), kind, core, words
+    words = set(_words(rest))
+    told = set(_words(numbers_of(about)[1])) if description else None
+    kind, core = label_of(label or "", words)
+    if told:
+        left = [v for v in told if len(v) >= 4 and v not in words]
+        meant = {w: next((v for v in left if abs(len(v) - len(w)) < 2 and _slip(w, v)), w) for w in words if len(w) >= 4 and w not in told}
+        words = {meant.get(w, w) for w in words}
+    raw = [w for w in re.findall(_WORD, title or "") if w[0].isalpha() and not _month(w.lower())]
+    capitals = {}
+    if sum(w.islower() for w in raw[1:]) >= sum(w[0].isupper() for w in raw[1:]) > 0:
+        # the first word's capital says nothing (2)
+        capitals = {raw[0].lower(): 2} | {w.lower(): int(w[0].isupper()) for w in raw[1:] if not (w.isupper() and len(w) > 1)}
+    return day or of or expires, " ".join(f"{x:g}" for x in found), kind, core, sorted(words), sorted(told) if told is not None else None, capitals, expires
 
 
 @lru_cache(maxsize=1 << 18)
@@ -176,29 +188,53 @@ def _vector(bits: set[int]) -> list[int]:
     return out
 
 
-def encode(pdf: pd.DataFrame) -> pd.DataFrame:
-    rows, vectors, texts = [], [], []
+def parse(pdf: pd.DataFrame) -> pd.DataFrame:
+    rows = []
     for title, label, description, expiry in zip(pdf["title"], pdf["label"], pdf["description"], pdf["expiry"], strict=True):
-        day, numbers, kind, core, words = identity(title, label, description, expiry)
-        bits = {b for w in words for b in _bits(w, "t")}
-        if kind in ("side", "name"):
-            bits |= {b for b in _bits(core, "l")}
-        about = {b for w in _WORD.findall(numbers_of(dates_of(plain(description or ""))[1])[1]) if not _filler(w) for b in _bits(w, "d")}
+        day, numbers, kind, core, words, told, capitals, expires = parsed(title, label, description, expiry)
         exact = core if kind in ("range", "number") else ""
-        # words pair up one to one, so their number is part of what must agree
-        rows.append((f"{day}|{kind}|{exact}|{numbers}|{len(words)}", core, words, dates_of(plain(expiry or ""))[0]))
-        vectors.append(_vector(bits))
-        texts.append(_vector(about))
-    out = pdf[["exchange_id", "sid"]].copy()
-    for i, c in enumerate(("must", "core", "words", "expires")):
-        out[c] = [r[i] for r in rows]
-    for i in range(WORDS):
-        out[f"w{i}"] = [v[i] for v in vectors]
-        out[f"d{i}"] = [v[i] for v in texts]
-    return out
-
-
-ENCODED = "exchange_id bigint, sid string, must string, core string, words array<string>, expires string, " + ", ".join(f"w{i} bigint, d{i} bigint" for i in range(WORDS))
+        mine = _vector({*_bits(core, "l")}) if kind in ("side", "name") else [0] * WORDS
+        seen = [{"word": w, "told": -1 if told is None else int(w in told), "capital": capitals.get(w, -1)} for w in words]
+        rows.append((f"{day}|{kind}|{exact}|{numbers}", core, seen, told, expires, *mine))
+    out = pd.DataFrame(rows, columns=["must", "core", "seen", "about", "expires", *(f"l{i}" for i in range(WORDS))])
+    return pd.concat([pdf[["exchange_id", "sid"]].reset_index(drop=True), out], axis=1)
+
+
+PARSED = "exchange_id bigint, sid string, must string, core string, seen array<struct<word:string,told:int,capital:int>>, about array<string>, expires string, " + ", ".join(f"l{i} bigint" for i in range(WORDS))
+
+
+def vocabulary(rows: DataFrame) -> DataFrame:
+    """(word, meant, loose, w0..): every title word that identifies a contract with the word it stands for and that word's q-grams as bits; a loose one was only seen
+    as first word of titles and in no contract with a description, so nothing tells whether it is a name."""
+    seen = rows.select(F.inline("seen"))
+    title = seen.groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.count_if(F.col("told") >= 0).alias("t"), F.count_if(F.col("told") == 1).alias("td"), F.count_if(F.col("capital").isin(0, 1)).alias("cn"), F.count_if(F.col("capital") == 1).alias("c"), F.count_if(F.col("capital") == 2).alias("first"))
+    described = rows.select(F.explode("about").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("d"))
+    n = rows.select(F.count("about")).scalar()
+    stats = title.join(described, "word", "left").withColumn("base", F.coalesce(F.col("d") / n, F.lit(0.0)))
+    capital = (F.col("c") + 0.25) / (F.col("cn") + 0.5)
+    held = F.greatest((F.col("td") / F.nullif(F.col("t"), F.lit(0)) - F.col("base")) / (1 - F.col("base") + 1e-9), F.lit(0.0)) * F.coalesce(F.col("td") / F.col("d"), F.lit(0.0))
+    lean = F.when(F.col("cn") > 0, capital).otherwise(REST)
+    support = (F.coalesce(F.col("t") * held, F.lit(0.0)) + PRIOR * lean) / (F.col("t") + PRIOR)
+    loose = (F.col("cn") == 0) & (F.col("t") == 0) & (F.col("first") > 0)
+    stats = written(stats.select("word", "df", loose.alias("loose"), (F.col("cn") > 0).alias("cased"), capital.alias("capital"), F.greatest(support, F.coalesce(held, F.lit(0.0)) * F.col("t") / (F.col("t") + 0.5), F.when(F.col("cn") > 0, capital).otherwise(0.0)).alias("weight")))
+    # words one letter apart share a word with one letter left out (or are it themselves)
+    long = stats.filter(F.length("word") >= 4)
+    outs = F.concat(F.array("word"), F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.concat(F.substring("word", F.lit(1), i - 1), F.substring("word", i + 1, F.length("word")))))
+    rare = long.select(F.col("word"), "df", F.explode(F.array_distinct(outs)).alias("part"))
+    common = long.filter((F.col("cased")) & (F.col("capital") < 0.5) & (F.col("df") >= MEANT)).select(F.col("word").alias("other"), F.col("df").alias("often"), F.explode(F.array_distinct(outs)).alias("part"))
+    letters = lambda c: F.array_sort(F.split(c, ""))
+    apart = F.levenshtein("word", "other")
+    close = rare.join(common, "part").filter(F.col("df") * MEANT <= F.col("often")).filter((apart == 1) | (apart == 2) & (F.length("word") == F.length("other")) & (letters("word") == letters("other")))
+    meant = close.groupBy("word").agg(F.max_by("other", F.struct("often", "other")).alias("meant"))
+    weights = stats.select(F.col("word").alias("meant"), "weight", "loose")
+    every = stats.select("word").join(meant, "word", "left").withColumn("meant", F.coalesce("meant", "word")).join(weights, "meant")
+
+    def bits(batches):  # noqa: ANN001, ANN202
+        for pdf in batches:
+            vectors = [_vector(set(_bits(w, "t"))) for w in pdf["meant"]]
+            yield pdf.assign(**{f"w{i}": [v[i] for v in vectors] for i in range(WORDS)})
+
+    return every.filter(F.col("weight") >= IDENTIFIES).select("word", "meant", "loose").mapInPandas(bits, "word string, meant string, loose boolean, " + ", ".join(f"w{i} bigint" for i in range(WORDS)))
 
 
 def _sum(parts: list[Column]) -> Column:
@@ -215,20 +251,21 @@ def _dice(x: str) -> Column:
     return F.when(total > 0, 2.0 * both / total)
 
 
-def _same_words(a: pd.Series, b: pd.Series, core_a: pd.Series, core_b: pd.Series) -> pd.Series:
-    """Exact check of a close pair: every word has its partner (up to a slip of the pen), and so has the label."""
+def _same_words(a: pd.Series, b: pd.Series, loose_a: pd.Series, loose_b: pd.Series, core_a: pd.Series, core_b: pd.Series) -> pd.Series:
+    """Exact check of a close pair: every word but loose ones has its partner (up to a slip of the pen), and so has the label."""
 
-    def paired(x: list[str], y: list[str]) -> bool:
+    def paired(x: list[str], y: list[str], free: set[str]) -> bool:
         left, right = [w for w in x if w not in set(y)], [w for w in y if w not in set(x)]
         for w in left:
             hit = next((v for v in right if near(w, v, 1 if len(w) < 8 else 2)), None)
-            if hit is None:
+            if hit is not None:
+                right.remove(hit)
+            elif w not in free:
                 return False
-            right.remove(hit)
-        return not right
+        return all(v in free for v in right)
 
     return pd.Series(
-        [paired(list(x), list(y)) and (p == q or min(len(p), len(q)) >= 4 and near(p, q, 1 if len(p) < 8 else 2)) for x, y, p, q in zip(a, b, core_a, core_b, strict=True)],
+        [paired(list(x), list(y), {*f, *g}) and (p == q or min(len(p), len(q)) >= 4 and near(p, q, 1 if len(p) < 8 else 2)) for x, y, f, g, p, q in zip(a, b, loose_a, loose_b, core_a, core_b, strict=True)],
         dtype=bool,
     )
 
@@ -250,38 +287,40 @@ def match_contracts(contracts: DataFrame) -> DataFrame:
 
     ``contracts`` has exchange_id, sid, title, label, description, expiry, one row per contract; other columns are
     never read. Contracts of one exchange with the very same texts are matched through the lowest of their ids, as ``copies``
-    gives it. Rows without exchange, id or title words have nothing to be matched by and give no pairs; null
+    gives it. Rows without exchange, id or identifying words have nothing to be matched by and give no pairs; null
     labels form a class of their own, and so do contracts that name no day; ties all match each other; texts are
     read whole; an empty table gives no pairs.
     """
     rows = contracts.select("exchange_id", "sid", *TEXTS).filter("exchange_id is not null and sid is not null")
     rows = rows.groupBy("exchange_id", *TEXTS).agg(F.min("sid").alias("sid"))
-    encoded = cut(rows.mapInPandas(lambda it: map(encode, it), ENCODED).filter(F.size("words") > 0))
+    rows = written(rows.mapInPandas(lambda it: map(parse, it), PARSED).withColumn("nr", F.monotonically_increasing_id()))
     ws = [f"w{i}" for i in range(WORDS)]
+    of = rows.select("nr", F.explode("seen.word").alias("word")).join(vocabulary(rows), "word")
+    of = of.groupBy("nr").agg(F.sort_array(F.collect_set("meant")).alias("words"), F.collect_set(F.when(F.col("loose"), F.col("meant"))).alias("loose"), *[F.bit_or(w).alias(w) for w in ws])
+    titled = of.join(rows.drop("seen"), "nr")
+    # title's bits for the score, all bits for the search
+    facts = written(titled.select("nr", "exchange_id", "sid", "must", "core", "words", "loose", "about", "expires", *[F.col(f"w{i}").alias(f"t{i}") for i in range(WORDS)], *[F.col(f"w{i}").bitwiseOR(F.col(f"l{i}")).alias(f"w{i}") for i in range(WORDS)]))
     chunk = lambda i: F.shiftrightunsigned(f"w{i // PER_WORD}", CHUNK_BITS * (i % PER_WORD)).bitwiseAND(F.lit((1 << CHUNK_BITS) - 1))
-    buckets = encoded.select("exchange_id", "sid", "must", *ws, F.posexplode(F.array(*[chunk(i) for i in range(CHUNKS)])).alias("chunk", "value"))
-    # bucket keys go as one hash; what it might mix up is told apart below, where the keys themselves are compared
-    buckets = buckets.select(F.xxhash64("must", "chunk", "value").alias("key"), "chunk", "exchange_id", "sid", *ws)
-    left = buckets.select("key", "chunk", *[F.col(c).alias(f"{c}_a") for c in ("exchange_id", "sid", *ws)])
-    right = buckets.select("key", *[F.col(c).alias(f"{c}_b") for c in ("exchange_id", "sid", *ws)])
-    xor = [F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b")) for w in ws]
-    apart = _sum([F.bit_count(x) for x in xor])
-    # a pair is kept in the first chunk in which it agrees, so that it comes once
-    differs = lambda i: F.shiftrightunsigned(xor[i // PER_WORD], CHUNK_BITS * (i % PER_WORD)).bitwiseAND(F.lit((1 << CHUNK_BITS) - 1)) != 0
-    first = F.coalesce(*[F.when(~differs(i), F.lit(i)) for i in range(CHUNKS)])
-    close = left.join(right, "key").filter((F.col("exchange_id_a") < F.col("exchange_id_b")) & (apart <= RADIUS) & (first == F.col("chunk")))
-    facts = encoded.drop(*ws)
-    both = close.drop("key", "chunk")
+    buckets = facts.select("nr", "exchange_id", "must", F.posexplode(F.array(*[chunk(i) for i in range(CHUNKS)])).alias("chunk", "value"))
+    # buckets hold numbers only; a key is one hash, and what it might mix up is told apart below, where keys and vectors themselves are compared
+    buckets = buckets.select(F.xxhash64("must", "chunk", "value").alias("key"), "exchange_id", "nr")
+    left, right = buckets.toDF("key", "ea", "nr_a"), buckets.toDF("key", "eb", "nr_b")
+    close = left.join(right, (left["key"] == right["key"]) & (F.col("ea") < F.col("eb"))).select("nr_a", "nr_b").distinct()
+    vectors = facts.select("nr", "must", *ws)
     for side in ("a", "b"):
-        both = both.join(facts.select(*[F.col(c).alias(f"{c}_{side}") for c in facts.columns]), [f"exchange_id_{side}", f"sid_{side}"])
+        close = close.join(vectors.select(*[F.col(c).alias(f"{c}_{side}") for c in vectors.columns]), f"nr_{side}")
+    apart = _sum([F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in ws])
+    both = close.filter((F.col("must_a") == F.col("must_b")) & (apart <= RADIUS)).select("nr_a", "nr_b")
+    told = facts.drop("must", *ws)
+    for side in ("a", "b"):
+        both = both.join(told.select(*[F.col(c).alias(f"{c}_{side}") for c in told.columns]), f"nr_{side}")
     check = F.pandas_udf(_same_words, T.BooleanType())
-    title = F.coalesce(_dice("w"), F.lit(0.0))
+    title = F.coalesce(_dice("t"), F.lit(0.0))
     label = F.when(F.col("core_a") == F.col("core_b"), 1.0).otherwise(1 - F.levenshtein("core_a", "core_b") / F.greatest(F.length("core_a"), F.length("core_b"), F.lit(1)))
     expiry = F.when((F.col("expires_a") == "") | (F.col("expires_b") == ""), 0.5).when(F.col("expires_a") == F.col("expires_b"), 1.0).otherwise(0.3)
-    about = F.coalesce(_dice("d"), F.lit(0.7))
+    shared = F.size(F.array_intersect("about_a", "about_b"))
+    about = F.coalesce(2.0 * shared / F.nullif(F.size("about_a") + F.size("about_b"), F.lit(0)), F.lit(0.7))
+    about = F.when(F.col("about_a").isNull() | F.col("about_b").isNull(), 0.7).otherwise(about)
     score = WEIGHTS[0] * title + WEIGHTS[1] * label + WEIGHTS[2] * expiry + WEIGHTS[3] * about
-    return (
-        both.filter(F.col("must_a") == F.col("must_b"))
-        .filter(check("words_a", "words_b", "core_a", "core_b"))
-        .select("exchange_id_a", "sid_a", "exchange_id_b", "sid_b", (1 / (1 + F.exp(-SLOPE * (score - MIDDLE)))).alias("confidence"))
-    )
+    scored = both.withColumn("confidence", 1 / (1 + F.exp(-SLOPE * (score - MIDDLE)))).filter(F.col("confidence") >= LEAST)
+    return scored.filter(check("words_a", "words_b", "loose_a", "loose_b", "core_a", "core_b")).select("exchange_id_a", "sid_a", "exchange_id_b", "sid_b", "confidence")
