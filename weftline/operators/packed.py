@@ -14,10 +14,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.functions.text import BLANKS
 from weftline.session import cut, once
 
 #: name -> regex class or sequence that separates pieces; in order of preference at equal scores.
 DELIMITERS = {"tab": r"\t", "line": r"\n", "bar": r"\|", "semicolon": ";", "comma": ",", "slash": r" / ", "mixed": r"; |, | \| "}
+#: What must stand in a text for a delimiter to part it; for the mixed one two of these.
+SIGNS = {"tab": "\t", "line": "\n", "bar": "|", "semicolon": ";", "comma": ",", "slash": " / "}
+_MIXED = ("; ", ", ", " | ")
 
 # quantifiers are possessive throughout: they loop where others recurse, so very long texts do no harm
 _QUOTED = r'"(?:[^"\\]++|\\.|"")*+"'
@@ -32,23 +36,27 @@ def _pieces(c: Column, name: str) -> Column:
     return F.regexp_extract_all(c, F.lit(rf'((?:[^"{d}]++|{_QUOTED}|"(?=[^"]*+$))++)'), F.lit(1))
 
 
-def _clean(p: Column) -> Column:
-    """Outer white space, one pair of quotes and the escapes inside it off."""
-    t = F.regexp_replace(p, r"(?U)^\s+|\s+$", "")
+def _bare(p: Column) -> Column:
+    return F.trim(p, F.lit(BLANKS))
+
+
+def _unquoted(t: Column) -> Column:
+    """One pair of quotes and the escapes inside it off a trimmed piece."""
     inner = F.substring(t, F.lit(2), F.length(t) - 2)
     double = F.regexp_replace(F.regexp_replace(inner, '""', '"'), r"\\(.)", "$1")
     single = F.regexp_replace(inner, r"\\(.)", "$1")
-    t = F.when(t.rlike(rf"(?s)^{_QUOTED}$"), double).when(t.rlike(r"(?s)^'(?:[^'\\]++|\\.)*+'$"), single).otherwise(t)
-    return F.regexp_replace(t, r"(?U)^\s+|\s+$", "")
+    quoted = F.when(t.rlike(rf"(?s)^{_QUOTED}$"), _bare(double)).when(t.rlike(r"(?s)^'(?:[^'\\]++|\\.)*+'$"), _bare(single)).otherwise(t)
+    return F.when(t.startswith('"') | t.startswith("'"), quoted).otherwise(t)
 
 
 def _cleaned(pieces: Column) -> Column:
-    return F.filter(F.transform(pieces, _clean), lambda x: x.isNotNull() & (x != ""))
+    """Pieces without outer white space, quotes and escapes; empty ones left out. Each step is a pass of its own, so nothing is worked out twice."""
+    return F.filter(F.transform(F.transform(pieces, _bare), _unquoted), lambda x: x.isNotNull() & (x != ""))
 
 
 def _self_delimited(c: Column) -> Column:
     """Values of a text that shows its own structure, else null."""
-    t = F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    t = _bare(c)
     body = F.substring(t, F.lit(2), F.length(t) - 2)
     listed = F.regexp_extract_all(body, F.lit(r"""((?:[^,'"]++|'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+"|['"])++)"""), F.lit(1))
     braced = F.filter(
@@ -66,8 +74,7 @@ def _self_delimited(c: Column) -> Column:
 
 
 def _trimmed(values: Column) -> Column:
-    t = F.transform(values, lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", ""))
-    return F.filter(t, lambda x: x.isNotNull() & (x != ""))
+    return F.filter(F.transform(values, _bare), lambda x: x.isNotNull() & (x != ""))
 
 
 def _all_numbers(values: Column) -> Column:
@@ -83,9 +90,11 @@ def split_packed(df: DataFrame, keys: Sequence[str], source: str, fields: Sequen
     unlike keys each stand for themselves. Other columns are never read; an empty table gives no rows.
     """
     src, ids = F.col(source), [F.col(k) for k in keys]
-    own = {f: _self_delimited(F.col(f)) for f in fields}
-    base = df.select(*ids, src.alias("_source"), *[F.col(f) for f in fields]).withColumns({f"_own_{f}": own[f] for f in fields})
-    base = base.withColumns({f"_c_{f}": F.when(F.col(f"_own_{f}").isNull() & F.col(f).isNotNull(), _candidates(F.col(f))) for f in fields})
+    # one stage after the other, so that what a later one reads twice is worked out once
+    base = once(df.select(*ids, src.alias("_source"), *[F.col(f) for f in fields]), **{f"_own_{f}": _self_delimited(F.col(f)) for f in fields})
+    base = once(base, **{f"_c_{f}": F.when(F.col(f"_own_{f}").isNull() & F.col(f).isNotNull(), _splits(F.col(f))) for f in fields})
+    base = once(base, **{f"_c_{f}": _whole(F.col(f), F.col(f"_c_{f}")) for f in fields})
+    base = once(base, **{f"_c_{f}": _regular(F.col(f"_c_{f}")) for f in fields})
 
     def others(f: str) -> Column:
         """Counts that the other fields allow: exact where they delimit themselves, else those of their candidates."""
@@ -157,21 +166,30 @@ def split_packed(df: DataFrame, keys: Sequence[str], source: str, fields: Sequen
     return done.select(*ids, "field", F.posexplode("_values").alias("value_pos", "value"))
 
 
-def _candidates(c: Column) -> Column:
-    """The splits that the delimiters give: array of (by, nr, values), the unsplit text always among them."""
+def _splits(c: Column) -> Column:
+    """The splits that the delimiters in a text give: array of (by, nr, values), the unsplit text always among them."""
     found = []
     for nr, name in enumerate(DELIMITERS):
-        values = _cleaned(_pieces(c, name))
-        found.append(F.struct(F.lit(name).alias("by"), F.lit(nr).alias("nr"), values.alias("values")))
-    found.append(F.struct(F.lit("none").alias("by"), F.lit(len(DELIMITERS)).alias("nr"), F.array(_clean(c)).alias("values")))
+        if name == "mixed":
+            there = sum((c.contains(x).cast("int") for x in _MIXED[1:]), c.contains(_MIXED[0]).cast("int")) > 1
+        else:
+            there = c.contains(SIGNS[name])
+        found.append(F.when(there, F.struct(F.lit(name).alias("by"), F.lit(nr).alias("nr"), _cleaned(_pieces(c, name)).alias("values"))))
+    found.append(F.struct(F.lit("none").alias("by"), F.lit(len(DELIMITERS)).alias("nr"), F.transform(F.transform(F.array(c), _bare), _unquoted).alias("values")))
     trailing = F.rtrim(c).rlike(r"[|;,]$")
-    split = F.filter(
+    return F.filter(
         F.array(*found),
-        lambda x: (F.size(x["values"]) > 1) | (x["by"] == "none") | trailing & x["by"].isin("bar", "semicolon", "comma") & (F.size(x["values"]) == 1),
+        lambda x: x.isNotNull() & ((F.size(x["values"]) > 1) | (x["by"] == "none") | trailing & x["by"].isin("bar", "semicolon", "comma") & (F.size(x["values"]) == 1)),
     )
-    # a piece that still holds a tab or line break is none
-    whole = F.filter(split, lambda x: (x["by"] != "none") & ~F.exists(x["values"], lambda v: v.rlike(r"[\t\n]")))
-    split = F.when(c.rlike(r"[\t\n]") & (F.size(whole) > 0), whole).otherwise(split)
-    # most regular of all: every piece is a number; then no other reading counts
+
+
+def _whole(c: Column, split: Column) -> Column:
+    """A piece that still holds a tab or line break is none."""
+    whole = F.filter(split, lambda x: (x["by"] != "none") & ~F.exists(x["values"], lambda v: v.contains("\t") | v.contains("\n")))
+    return F.when((c.contains("\t") | c.contains("\n")) & (F.size(whole) > 0), whole).otherwise(split)
+
+
+def _regular(split: Column) -> Column:
+    """Most regular of all: every piece is a number; then no other reading counts."""
     regular = F.filter(split, lambda x: _all_numbers(x["values"]))
     return F.when(F.size(regular) > 0, F.slice(regular, 1, 1)).otherwise(split)
