@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.session import written
+from weftline.session import small, written
 
 RADIUS = 12
 CHUNK_BITS = 16
@@ -295,17 +295,22 @@ def match_contracts(contracts: DataFrame) -> DataFrame:
     rows = rows.groupBy("exchange_id", *TEXTS).agg(F.min("sid").alias("sid"))
     rows = written(rows.mapInPandas(lambda it: map(parse, it), PARSED).withColumn("nr", F.monotonically_increasing_id()))
     ws = [f"w{i}" for i in range(WORDS)]
-    of = rows.select("nr", F.explode("seen.word").alias("word")).join(vocabulary(rows), "word")
+    of = rows.select("nr", F.explode("seen.word").alias("word")).join(small(written(vocabulary(rows))), "word")
     of = of.groupBy("nr").agg(F.sort_array(F.collect_set("meant")).alias("words"), F.collect_set(F.when(F.col("loose"), F.col("meant"))).alias("loose"), *[F.bit_or(w).alias(w) for w in ws])
     titled = of.join(rows.drop("seen"), "nr")
     # title's bits for the score, all bits for the search
     facts = written(titled.select("nr", "exchange_id", "sid", "must", "core", "words", "loose", "about", "expires", *[F.col(f"w{i}").alias(f"t{i}") for i in range(WORDS)], *[F.col(f"w{i}").bitwiseOR(F.col(f"l{i}")).alias(f"w{i}") for i in range(WORDS)]))
     chunk = lambda i: F.shiftrightunsigned(f"w{i // PER_WORD}", CHUNK_BITS * (i % PER_WORD)).bitwiseAND(F.lit((1 << CHUNK_BITS) - 1))
-    buckets = facts.select("nr", "exchange_id", "must", F.posexplode(F.array(*[chunk(i) for i in range(CHUNKS)])).alias("chunk", "value"))
+    # a vector folded to one number: no two are further apart when folded, so most far pairs end here
+    fold = F.col(ws[0])
+    for i, w in enumerate(ws[1:], 1):
+        fold = fold.bitwiseXOR(F.shiftleft(w, 13 * i).bitwiseOR(F.shiftrightunsigned(w, 64 - 13 * i)))
+    buckets = facts.select("nr", "exchange_id", "must", fold.alias("fold"), F.posexplode(F.array(*[chunk(i) for i in range(CHUNKS)])).alias("chunk", "value"))
     # buckets hold numbers only; a key is one hash, and what it might mix up is told apart below, where keys and vectors themselves are compared
-    buckets = buckets.select(F.xxhash64("must", "chunk", "value").alias("key"), "exchange_id", "nr")
-    left, right = buckets.toDF("key", "ea", "nr_a"), buckets.toDF("key", "eb", "nr_b")
-    close = left.join(right, (left["key"] == right["key"]) & (F.col("ea") < F.col("eb"))).select("nr_a", "nr_b").distinct()
+    buckets = buckets.select(F.xxhash64("must", "chunk", "value").alias("key"), "exchange_id", "nr", "fold")
+    left, right = buckets.toDF("key", "ea", "nr_a", "fa"), buckets.toDF("key", "eb", "nr_b", "fb")
+    near_enough = (F.col("ea") < F.col("eb")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= RADIUS)
+    close = left.join(right, (left["key"] == right["key"]) & near_enough).select("nr_a", "nr_b").distinct()
     vectors = facts.select("nr", "must", *ws)
     for side in ("a", "b"):
         close = close.join(vectors.select(*[F.col(c).alias(f"{c}_{side}") for c in vectors.columns]), f"nr_{side}")
