@@ -21,7 +21,7 @@ from weftline.session import cut
 
 M0, M_UP, EF_BUILD, EF_SEARCH = 24, 12, 48, 64
 #: Vectors per shard aimed at, most shards, and shards that each vector searches.
-SHARD_ROWS, MAX_SHARDS, PROBES = 1500, 4096, 6
+SHARD_ROWS, MAX_SHARDS, PROBES = 1500, 4096, 4
 #: Pivots are fitted on at most this many vectors; every vector is indexed.
 SAMPLE = 20_000
 #: A shard larger than this many times SHARD_ROWS (or the mean, if larger, but at most GRAPH_ROWS) is salted into several graphs, all of
@@ -66,7 +66,7 @@ class Hnsw:
         rows, width = cand.shape
         valid = np.isfinite(sims)
         vec = self.x[np.where(valid, cand, 0)]
-        among = np.einsum("rcd,red->rce", vec, vec)
+        among = vec @ vec.transpose(0, 2, 1)
         kept = np.zeros((rows, width), dtype=bool)
         for c in range(width):
             worst = np.where(kept, among[:, c, :], -np.inf).max(axis=1)
@@ -295,7 +295,7 @@ def most_similar(vectors: DataFrame, key: str, vec: str, k: int = 10, size: int
         exact, ids = exact[asks], ids[asks]
         for s in range(0, len(ids), 4096):
             f = found[s : s + 4096]
-            sims = np.einsum("rcd,rd->rc", mine[np.maximum(f, 0)], exact[s : s + 4096])
+            sims = np.round(np.einsum("rcd,rd->rc", mine[np.maximum(f, 0)], exact[s : s + 4096]), 12)
             c = member_ids[np.maximum(f, 0)]
             sims[(f < 0) | (c == ids[s : s + 4096, None])] = -np.inf
             top = np.lexsort((c, -sims), axis=1)[:, : k + 1]
@@ -307,7 +307,10 @@ def most_similar(vectors: DataFrame, key: str, vec: str, k: int = 10, size: int
 
     found = placed.groupBy("shard", "part", "task").applyInPandas(shard, "q bigint, c bigint, sim double")
     order = Window.partitionBy("q").orderBy(F.desc("sim"), "c")
-    merged = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank")
+    # what one side found is a candidate of the other too; a pair found from both has one rank
+    ends = F.array(F.struct(F.col("q").alias("q"), F.col("c").alias("c")), F.struct(F.col("c").alias("q"), F.col("q").alias("c")))
+    both = found.select(F.inline(ends), "sim")
+    merged = both.withColumn("rank", F.dense_rank().over(order)).filter(F.col("rank") <= k).drop("rank").dropDuplicates(["q", "c"])
     # heads back to their copies: a neighbour stands for its copies, a query's answer goes to each of its own
     if not seen["several"]:
         return merged
