@@ -322,3 +322,52 @@ def most_similar(vectors: DataFrame, key: str, vec: str, k: int = 10, size: int
     spread = other.join(every, "q", "left").select(F.coalesce("_id", "q").alias("q"), "c", "sim")
     both = spread.unionByName(twins)
     return both.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank")
+
+
+#: Queries that meet all rows at once in ``exact_similar``; they go to every executor.
+QUERY_ROWS = 8192
+
+
+def exact_similar(vectors: DataFrame, key: str, vec: str, queries: DataFrame, k: int = 10, size: int = 64) -> DataFrame:
+    """Rows ``(q, c, sim)``: for a stated set of query keys the exact ``k`` most similar others among all vectors, ties by key; what ``most_similar`` is measured against.
+
+    The queries go in blocks of ``QUERY_ROWS`` past all rows; every batch of rows keeps the k best of each query. Unusable vectors take no part.
+    """
+    spark = vectors.sparkSession
+    rows = usable(vectors.select(F.col(key).alias("id"), F.col(vec).cast("array<double>").alias("v")).filter("id is not null"), "v", size)
+    asked = rows.join(queries.select(F.col(key).alias("id")).distinct(), "id", "left_semi")
+    blocks = max(1, -(-asked.count() // QUERY_ROWS))
+    found = None
+
+    def unit(a: np.ndarray) -> np.ndarray:
+        a = a / np.abs(a).max(axis=1, keepdims=True)
+        return a / np.sqrt((a * a).sum(axis=1, keepdims=True))
+
+    for b in range(blocks):
+        part = asked.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).toPandas()
+        if not len(part):
+            continue
+        told = spark.sparkContext.broadcast((part["id"].to_numpy(np.int64), unit(np.array(part["v"].tolist(), dtype=np.float64))))
+
+        def best(batches: Iterator[pd.DataFrame], told=told) -> Iterator[pd.DataFrame]:  # noqa: ANN001
+            ids, asked_x = told.value
+            for pdf in batches:
+                if not len(pdf):
+                    continue
+                own = pdf["id"].to_numpy(np.int64)
+                by_key = np.argsort(own, kind="stable")
+                own, x = own[by_key], unit(np.array(pdf["v"].tolist(), dtype=np.float64))[by_key]
+                for s in range(0, len(ids), 1024):
+                    sims = np.round(asked_x[s : s + 1024] @ x.T, 12)
+                    sims[ids[s : s + 1024, None] == own[None, :]] = -np.inf
+                    top = np.argsort(-sims, axis=1, kind="stable")[:, :k]
+                    value = np.take_along_axis(sims, top, 1)
+                    good = np.isfinite(value)
+                    yield pd.DataFrame({"q": np.repeat(ids[s : s + 1024], good.sum(axis=1)), "c": own[top][good], "sim": value[good]})
+
+        one = rows.mapInPandas(best, "q bigint, c bigint, sim double")
+        found = one if found is None else found.unionByName(one)
+    if found is None:
+        return rows.select(F.col("id").alias("q"), F.col("id").alias("c"), F.lit(0.0).alias("sim")).limit(0)
+    order = Window.partitionBy("q").orderBy(F.desc("sim"), "c")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank")
