@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from weftline.functions.text import strip_all
 from weftline.llm.ann import exact_similar, most_similar
@@ -95,16 +96,18 @@ def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
 
 def p8_checks(spark: SparkSession, folder: str) -> DataFrame:
     """What a packing must keep, by kind: documents packed, containers filled beyond their capacity, documents cut although they fit, tokens in other places than
-    the pieces of a document say, and whether there is at most a hundredth of the room, and one container, too much."""
+    the pieces of a document say, and whether no two containers would fit into one."""
     sizes = table(spark, folder, "container_size")
     packed = cut(p8_pack(spark, folder))
     loads = packed.filter("container_no > 0").groupBy("container_kind", "container_no").agg(F.sum("tokens").alias("load")).join(sizes, "container_kind")
-    full = loads.groupBy("container_kind").agg(F.count_if(F.col("load") > F.col("capacity_tokens")).alias("n_over"), (F.count(F.lit(1)) <= 1.01 * F.sum("load") / F.max("capacity_tokens") + 1).alias("tight"))
+    full = loads.groupBy("container_kind").agg(F.count_if(F.col("load") > F.col("capacity_tokens")).alias("n_over"))
+    least = loads.withColumn("rank", F.row_number().over(Window.partitionBy("container_kind").orderBy("load", "container_no"))).filter("rank <= 2")
+    least = least.groupBy("container_kind").agg(((F.count(F.lit(1)) < 2) | (F.sum("load") > F.max("capacity_tokens"))).alias("tight"))
     docs = packed.groupBy("container_kind", "doc_id").agg(F.count(F.lit(1)).alias("pieces"), F.max("piece_no").alias("last"), F.sum("tokens").alias("tokens")).join(sizes, "container_kind")
     whole = docs.groupBy("container_kind").agg(
         F.count(F.lit(1)).alias("n_docs"), F.count_if((F.col("pieces") > 1) & (F.col("tokens") <= F.col("capacity_tokens"))).alias("n_cut_in_vain"), F.count_if(F.col("last") + 1 != F.col("pieces")).alias("n_odd")
     )
-    return whole.join(full, "container_kind")
+    return whole.join(full, "container_kind").join(least, "container_kind")
 
 
 def p9_scores(spark: SparkSession, folder: str) -> DataFrame:
