@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from weftline.functions.scalars import contract_hash
 
@@ -96,6 +95,15 @@ def update_tracker(tracker: DataFrame, active: DataFrame, threshold: int, failed
 
 
 def chunk_ids(df: DataFrame, order: list[str], size: int, groups: list[str]) -> DataFrame:
-    """Fixed-size chunks within each group of rows, in order."""
-    rank = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
-    return df.withColumn("chunk", F.floor((rank - 1) / size)).withColumn("place", rank)
+    """Fixed-size chunks within each group of rows, in order, with the place (from 1) in the group.
+
+    Rows are numbered across range partitions of (group, order) and a group's first number is taken off, so no task sees a whole group.
+    """
+    from weftline.operators.entities import with_ids
+
+    numbered = with_ids(df, df.sparkSession.createDataFrame([(0,)], "_nr long"), "_nr", [*groups, *order])
+    key = F.to_json(F.struct(*groups), {"ignoreNullFields": "false"})
+    numbered = numbered.withColumn("_g", key)
+    first = numbered.groupBy("_g").agg(F.min("_nr").alias("_first"))
+    place = (F.col("_nr") - F.col("_first") + 1).cast("int")
+    return numbered.join(first, "_g").withColumn("chunk", F.floor((place - 1) / size)).withColumn("place", place).select(*df.columns, "chunk", "place")

@@ -16,9 +16,17 @@ def split_known(rows: DataFrame, known: DataFrame, keys: list[str]) -> tuple[Dat
 
 
 def tolerance_join(new: DataFrame, existing: DataFrame, tolerance_s: int) -> DataFrame:
-    """Each new (key, title, expiry) with the lowest existing event of its title and an expiry close to it."""
-    e = existing.select(F.col("title"), F.col("expiry").alias("_e"), "event_id")
-    close = new.join(e, "title").filter(expiry_close(F.col("expiry"), F.col("_e"), tolerance_s))
+    """Each new (key, title, expiry) with the lowest existing event of its title and an expiry close to it; no expiry is close to no expiry.
+
+    Expiries are cut into steps as wide as the tolerance, so that an existing event meets those new ones only whose step is its own or a neighbour's,
+    however many events share a title.
+    """
+    step = lambda c: F.floor(F.unix_micros(c) / F.lit(max(1, tolerance_s) * 1_000_000))
+    # of all events of one title and instant only the lowest can win
+    e = existing.groupBy("title", F.col("expiry").alias("_e")).agg(F.min("event_id").alias("event_id")).withColumn("_s", F.coalesce(step(F.col("_e")), F.lit(-(1 << 62))))
+    mine = step(F.col("expiry"))
+    near = F.when(mine.isNull(), F.array(F.lit(-(1 << 62)))).otherwise(F.array(mine - 1, mine, mine + 1))
+    close = new.withColumn("_s", F.explode(near)).join(e, ["title", "_s"]).filter(expiry_close(F.col("expiry"), F.col("_e"), tolerance_s))
     return close.groupBy("key").agg(F.min("event_id").alias("event_id"))
 
 
