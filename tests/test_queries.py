@@ -43,7 +43,7 @@ def test_query_equals_sql(name, spark, data, con):
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
 def test_query_without_sql_gives_rows_with_unique_keys(name, spark, data):
     df = registry.QUERIES[name](spark, data)
-    keys = {"p2_found": ["source", "row_id", "market_pos"], "p2_undeclared": ["source", "row_id", "market_pos"], "p7_found": ["feed_pos", "market_pos", "field", "value_pos"]}[name]
+    keys = {"p7_found": ["feed_pos", "market_pos", "field", "value_pos"]}[name]
     assert 0 < df.count() == df.select(*keys).distinct().count()
 
 

@@ -82,7 +82,7 @@ def with_interpretations(df: DataFrame, text: str, order: str, home: str, out: s
     parts = F.lit(None).cast("array<string>")
     for shape, (pattern, at) in reversed(SHAPES.items()):
         groups = _SEP.join([shape, *(f"${i}" if i else "" for i in at)])
-        parts = F.when(F.col("_s").rlike(_GUARDS[shape]), F.split(F.regexp_replace("_s", pattern, groups), _SEP)).otherwise(parts)
+        parts = F.when(F.col("_s").rlike(GUARDS[shape]), F.split(F.regexp_replace("_s", pattern, groups), _SEP)).otherwise(parts)
     stage = stage.withColumn("_p", parts)
     field = lambda i: F.when(F.size("_p") == 10, F.col("_p")[i])
     number = lambda i: field(i).try_cast("int")
@@ -147,7 +147,7 @@ def with_interpretations(df: DataFrame, text: str, order: str, home: str, out: s
     return once(stage, **{out: F.filter(F.array(*found), lambda x: x["epoch_us"].isNotNull())}).select(*df.columns, out)
 
 
-_GUARDS = {
+GUARDS = {
     "ymd": r"^\d{4}[-/.]",
     "compact": r"^\d{8}\D",
     "digits": r"^(?:\d{8}|\d{12}|\d{14})$",
