@@ -34,6 +34,8 @@ SHINGLE = 3
 SHARE, HALF = 0.47, 0.5
 #: Small edits cost at most this share of the words that match: one word in five replaced. Edits come to one place for so many words that stand.
 EDITS, RUN = 0.25, 4
+#: Words too many or missing that may stand between the parts of a stretch: half of the item's number, and at least so many (page headers).
+SLACK = 24
 #: Share of the shingles needed that the prefix may leave out.
 LEFT_OUT = 0.25
 #: Alignment: a match counts 1; costs of another word, of a word too many (page headers, numbers) and of a word missing.
@@ -168,7 +170,7 @@ def align(item: np.ndarray, doc: np.ndarray) -> float:
 
 def _windows(pos: np.ndarray, off: np.ndarray, n: int) -> list[tuple[int, int]]:
     """Stretches (start, end) of the document in which enough shared shingles lie, in the item's order, within a window of its size."""
-    need, slack = least_places(n), max(16, n)
+    need, slack = least_places(n), max(SLACK, n // 2)
     apart = pos - off
     order = np.argsort(apart)
     apart = apart[order]
