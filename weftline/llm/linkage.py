@@ -194,13 +194,13 @@ def parse(pdf: pd.DataFrame) -> pd.DataFrame:
         day, numbers, kind, core, words, told, capitals, expires = parsed(title, label, description, expiry)
         exact = core if kind in ("range", "number") else ""
         mine = _vector({*_bits(core, "l")}) if kind in ("side", "name") else [0] * WORDS
-        seen = [{"word": w, "told": -1 if told is None else int(w in told), "capital": capitals.get(w, -1)} for w in words]
-        rows.append((f"{day}|{kind}|{exact}|{numbers}", core, seen, told, expires, *mine))
-    out = pd.DataFrame(rows, columns=["must", "core", "seen", "about", "expires", *(f"l{i}" for i in range(WORDS))])
+        at = set(told or ())
+        rows.append((f"{day}|{kind}|{exact}|{numbers}", core, words, [-1 if told is None else int(w in at) for w in words], [capitals.get(w, -1) for w in words], told, expires, *mine))
+    out = pd.DataFrame(rows, columns=["must", "core", "word", "told", "capital", "about", "expires", *(f"l{i}" for i in range(WORDS))])
     return pd.concat([pdf[["exchange_id", "sid"]].reset_index(drop=True), out], axis=1)
 
 
-PARSED = "exchange_id bigint, sid string, must string, core string, seen array<struct<word:string,told:int,capital:int>>, about array<string>, expires string, " + ", ".join(f"l{i} bigint" for i in range(WORDS))
+PARSED = "exchange_id bigint, sid string, must string, core string, word array<string>, told array<int>, capital array<int>, about array<string>, expires string, " + ", ".join(f"l{i} bigint" for i in range(WORDS))
 
 
 def vocabulary(rows: DataFrame) -> DataFrame:
@@ -293,7 +293,8 @@ def match_contracts(contracts: DataFrame) -> DataFrame:
     """
     rows = contracts.select("exchange_id", "sid", *TEXTS).filter("exchange_id is not null and sid is not null")
     rows = rows.groupBy("exchange_id", *TEXTS).agg(F.min("sid").alias("sid"))
-    rows = written(rows.mapInPandas(lambda it: map(parse, it), PARSED).withColumn("nr", F.monotonically_increasing_id()))
+    rows = rows.mapInPandas(lambda it: map(parse, it), PARSED).withColumn("seen", F.arrays_zip("word", "told", "capital")).drop("word", "told", "capital")
+    rows = written(rows.withColumn("nr", F.monotonically_increasing_id()))
     ws = [f"w{i}" for i in range(WORDS)]
     of = rows.select("nr", F.explode("seen.word").alias("word")).join(small(written(vocabulary(rows))), "word")
     of = of.groupBy("nr").agg(F.sort_array(F.collect_set("meant")).alias("words"), F.collect_set(F.when(F.col("loose"), F.col("meant"))).alias("loose"), *[F.bit_or(w).alias(w) for w in ws])

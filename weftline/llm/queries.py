@@ -14,7 +14,7 @@ from weftline.llm.linkage import copies, match_contracts
 from weftline.llm.packing import pack_texts
 from weftline.llm.sentences import sentence_units
 from weftline.operators.snapshots import latest_copy
-from weftline.session import cut, table
+from weftline.session import cut, table, written
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,7 +70,7 @@ def p5_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """The matched contracts' ids, each pair once with the lower id first."""
-    contracts = _contracts(spark, folder)
+    contracts = written(_contracts(spark, folder))
     pairs = match_contracts(contracts)
     member = copies(contracts)
     for side in ("a", "b"):
