@@ -31,8 +31,9 @@ CHUNKS = RADIUS + 1
 BITS = CHUNKS * CHUNK_BITS
 #: Weights of title, label, expiry and description in the score.
 WEIGHTS = (0.5, 0.3, 0.1, 0.1)
-#: Logistic curve from score to confidence, and the least confidence of a match. See README for how it was fitted and held to other pairs.
-SLOPE, MIDDLE, LEAST = 40.0, 0.74, 0.5
+#: Logistic curve from score to confidence, fitted on the close pairs of one table and held to those of another (README), and the confidence from which on
+#: pairs are held to the exact check.
+SLOPE, MIDDLE, LEAST = 70.0, 0.81, 0.02
 #: A word identifies from this weight on. Weights lean on PRIOR observations at the word's share of capitals, and at REST where its case tells nothing.
 IDENTIFIES, PRIOR, REST = 0.5, 6.0, 0.7
 #: A common word so many times as frequent as one an edit away is what that one was meant to be.
