@@ -36,3 +36,7 @@ def test_cli(tmp_path, data, capsys):
     assert cli.main(["run", "nothing"]) == 2
     assert cli.main(["run", "title_key", data, str(tmp_path / "out"), "json"]) == 0
     assert list((tmp_path / "out").glob("*.json"))
+    for stage, parts in (("entities", {"events", "listings", "specs", "stale_listings"}), ("stale", {"tracker", "stale"})):
+        assert cli.main(["stage", stage, data, str(tmp_path / stage)]) == 0
+        assert parts <= {p.name for p in (tmp_path / stage).iterdir()}
+    assert cli.main(["stage", "nothing", data, str(tmp_path / "x")]) == 2

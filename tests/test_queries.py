@@ -164,3 +164,22 @@ def test_the_whole_run(spark):
     cached = pipeline.run_pipeline(spark.createDataFrame(rows, schema), state, none("event_id long, embedding array<float>"), rel, words, config, pipeline.label_judge, cache=cache).semantic.relations.collect()
     # what is cached is not asked for: the primary contracts exclude each other, so each implies the other's complement
     assert {r.relationship_type for r in cached} == {"MUTUALLY_EXCLUSIVE", "IMPLIES"} and len(cached) == 4
+
+
+def test_judgements_are_cached_by_label_and_come_back_the_same(spark):
+    events = spark.createDataFrame([(1, "B title", None, "x"), (2, "A title", None, "x")], "event_id long, title string, description string, category string")
+    links = spark.createDataFrame([(1, 10, "u"), (1, 11, "v"), (1, 12, "w"), (2, 20, "p"), (2, 21, "q"), (2, 22, "r")], "event_id long, security_id long, outcome_label string")
+    pairs = spark.createDataFrame([(1, 2, 0.9)], "a long, b long, sim double")
+    rel = spark.createDataFrame([], "security_id_a long, security_id_b long, relationship_type string, confidence double, method string")
+    text = '[{"a": 2, "b": 3, "type": "IMPLIES", "confidence": 0.8, "direction": "B_IMPLIES_A"}, {"a": 9, "b": 1, "type": "EQUIVALENT", "confidence": 0.9}]'
+    asked = []
+
+    def judge(df):
+        asked.append(df.count())
+        return df.select("pair_id", F.lit(text).alias("text"))
+
+    one = pipeline.classify_semantic(pairs, events, links, rel, pipeline.EngineConfig(), judge)
+    assert [tuple(r)[:3] for r in one.relations.collect()] == [(22, 11, "IMPLIES")]
+    assert [tuple(r)[1:] for r in one.cache.collect()] == [("r", "v", "IMPLIES", 0.8, "B_IMPLIES_A")]
+    two = pipeline.classify_semantic(pairs, events, links, rel, pipeline.EngineConfig(), judge, one.cache)
+    assert asked == [1, 0] and sorted(map(tuple, two.relations.collect())) == sorted(map(tuple, one.relations.collect()))

@@ -173,10 +173,25 @@ def places(asked: DataFrame) -> DataFrame:
 
 @dataclass
 class Classified:
-    """Relations to append, and how many were left out for low confidence."""
+    """Relations to append, how many were left out for low confidence, and judgements to add to the cache."""
 
     relations: DataFrame
     counts: DataFrame
+    cache: DataFrame | None = None
+
+
+def cache_rows(responses: DataFrame, asked: DataFrame) -> DataFrame:
+    """(pair_key, first_label, second_label, type, confidence, direction): judgements as the cache keeps them, by label and in the order of the pair's key, whichever side
+    was asked for first. Places that do not exist and items without confidence are not kept; of pairs of one key the lowest speaks for all."""
+    items = responses.select("pair_id", F.inline(relations.parse_judgement(F.col("text"))))
+    items = items.select("pair_id", F.col("a").try_cast("int").alias("pa"), F.col("b").try_cast("int").alias("pb"), "type", F.col("confidence").try_cast("double").alias("confidence"), "direction").filter("confidence is not null")
+    at = items.join(asked.select("pair_id", "pair_key", "a_first", "labels_a", "labels_b"), "pair_id")
+    label = lambda c, place: F.get(c, F.col(place) - 1)
+    la, lb = label("labels_a", "pa"), label("labels_b", "pb")
+    rows = at.select("pair_key", "pair_id", F.when(F.col("a_first"), la).otherwise(lb).alias("first_label"), F.when(F.col("a_first"), lb).otherwise(la).alias("second_label"), "type", "confidence", "direction")
+    rows = rows.filter("first_label is not null and second_label is not null")
+    lowest = rows.groupBy("pair_key").agg(F.min("pair_id").alias("pair_id"))
+    return rows.join(lowest, ["pair_key", "pair_id"]).drop("pair_id")
 
 
 def classify_structural(contracts: DataFrame, keywords: DataFrame, existing: DataFrame, config: EngineConfig, new: DataFrame | None = None) -> Classified:
@@ -201,13 +216,14 @@ def classify_semantic(
         at = hit.select("pair_key", "pair_id", F.col("a").alias("event_a"), F.col("b").alias("event_b"), "a_first")
         items = cache.join(at.select("pair_key", "pair_id"), "pair_key").drop("pair_key")
         judged = relations.cached_relations(items, _primary(links), at.drop("pair_key"))
-    answered = relations.judged_pairs(judge(pending), places(pending), config.least_judged)
+    responses = cut(judge(pending))
+    answered = relations.judged_pairs(responses, places(pending), config.least_judged)
     judged = answered if judged is None else judged.unionByName(answered)
     every = relations.derive(judged, relations.complement_map(links.select("event_id", "security_id")))
     # one order for equal confidences, the same in every run
     matches = every.distinct().withColumn("seq", F.row_number().over(Window.partitionBy("security_id_a", "security_id_b").orderBy("relationship_type", F.desc("confidence"))).cast("long"))
     kept = relations.to_write(matches, existing, "seq", config.least_confidence, new).withColumn("method", F.lit("embedding"))
-    return Classified(kept.drop("seq"), relations.write_counts(matches, existing, "seq", config.least_confidence, new))
+    return Classified(kept.drop("seq"), relations.write_counts(matches, existing, "seq", config.least_confidence, new), cache_rows(responses, pending))
 
 
 @dataclass

@@ -890,3 +890,24 @@ def embeddings_completed(spark: SparkSession, folder: str) -> DataFrame:
     weighted = F.transform("embedding", lambda x, i: x * (i + 1))
     n = F.when(F.col("embedding").isNotNull(), F.size("embedding")).cast("long")
     return both.select("event_id", n.alias("n"), F.when(made, total(F.col("embedding"))).alias("total"), F.when(made, total(weighted)).alias("weighted"))
+
+
+# stages of the command line: a folder of tables in, tables of what would be written out
+
+
+def _stage_entities(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    out = pipeline.resolve_contracts(_batch(spark, folder, 0), _state(spark, folder), pipeline.EngineConfig())
+    return {name: getattr(out, name) for name in ("events", "venue_events", "securities", "listings", "links", "currencies", "specs", "stale_listings")}
+
+
+def _stage_classify(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    out = _classified(spark, folder)
+    return {"relations": out.relations, "counts": out.counts, "cache": out.cache}
+
+
+STAGES = {
+    "entities": _stage_entities,
+    "classify": _stage_classify,
+    "resolve": lambda spark, folder: {"cascade": deactivation_cascade(spark, folder)},
+    "stale": lambda spark, folder: dict(zip(("tracker", "stale"), _tracked(spark, folder), strict=True)),
+}
