@@ -55,3 +55,20 @@ def test_copies_ties_and_unusable_vectors(spark):
 def test_empty_and_single(spark):
     assert run(spark, []).count() == 0
     assert run(spark, [(1, [1.0] * 8, 0, "")]).count() == 0
+
+
+def test_exact_answers_of_a_stated_query_set(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.normal(size=(40, 8)), 3, axis=0)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(900, None), (901, [0.0] * 8), (None, [1.0] * 8)], "id long, v array<double>").repartition(3)
+    monkeypatch.setattr(ann, "QUERY_ROWS", 10)
+    got = {}
+    for r in ann.exact_similar(df, "id", "v", df.filter("id % 5 = 0"), 4, 8).collect():
+        got.setdefault(r.q, set()).add(r.c)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for q in range(0, 120, 5):
+        sims = np.round(unit @ unit[q], 12)
+        want = sorted((c for c in range(120) if c != q), key=lambda c: (-sims[c], c))[:4]
+        assert got[q] == set(want)
+    assert set(got) == set(range(0, 120, 5))
+    assert ann.exact_similar(df, "id", "v", df.filter("id = 901"), 4, 8).count() == 0

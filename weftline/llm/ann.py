@@ -354,16 +354,14 @@ def exact_similar(vectors: DataFrame, key: str, vec: str, queries: DataFrame, k:
             for pdf in batches:
                 if not len(pdf):
                     continue
-                own = pdf["id"].to_numpy(np.int64)
-                by_key = np.argsort(own, kind="stable")
-                own, x = own[by_key], unit(np.array(pdf["v"].tolist(), dtype=np.float64))[by_key]
+                own, x = pdf["id"].to_numpy(np.int64), unit(np.array(pdf["v"].tolist(), dtype=np.float64))
                 for s in range(0, len(ids), 1024):
                     sims = np.round(asked_x[s : s + 1024] @ x.T, 12)
                     sims[ids[s : s + 1024, None] == own[None, :]] = -np.inf
-                    top = np.argsort(-sims, axis=1, kind="stable")[:, :k]
-                    value = np.take_along_axis(sims, top, 1)
-                    good = np.isfinite(value)
-                    yield pd.DataFrame({"q": np.repeat(ids[s : s + 1024], good.sum(axis=1)), "c": own[top][good], "sim": value[good]})
+                    # all that reach a batch's k-th best, ties included
+                    least = np.partition(sims, -k, axis=1)[:, -k] if sims.shape[1] > k else np.full(len(sims), -np.inf)
+                    at, of = np.nonzero((sims >= least[:, None]) & np.isfinite(sims))
+                    yield pd.DataFrame({"q": ids[s : s + 1024][at], "c": own[of], "sim": sims[at, of]})
 
         one = rows.mapInPandas(best, "q bigint, c bigint, sim double")
         found = one if found is None else found.unionByName(one)
