@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from weftline.functions.text import BLANKS
+
 SEPARATOR = "\u0000"
 
 
@@ -61,9 +63,10 @@ def canonical_key(model: Column, exchange: Column, native: Column) -> Column:
 
 
 def strip_code_fences(text: Column) -> Column:
-    """What stands inside a fenced block; unfenced text as it is."""
-    t = F.trim(text)
-    return F.when(t.startswith("```"), F.trim(F.regexp_extract(t, r"(?s)^```[^\n]*\n(.*?)(?:\n?```\s*)?$", 1))).otherwise(t)
+    """What stands inside a fenced block; unfenced text as it is; outer white space of any kind is off."""
+    bare = lambda c: F.trim(c, F.lit(BLANKS))
+    t = bare(text)
+    return F.when(t.startswith("```"), bare(F.regexp_extract(t, r"(?s)^```[^\n]*\n(.*?)(?:\n?```\s*)?$", 1))).otherwise(t)
 
 
 def embedding_text(title: Column, description: Column) -> Column:

@@ -102,7 +102,10 @@ def title_key(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("SELECT event_id, trim(props) AS body FROM events")
 def strip_fences(spark: SparkSession, folder: str) -> DataFrame:
-    fenced = F.concat(F.lit("```json\n"), F.col("props"), F.lit("\n```"))
+    """Bodies out of fences with and without a language, with white space around, without an end, and out of none."""
+    kind = F.col("event_id") % 5
+    at = lambda before, after: F.concat(F.lit(before), F.col("props"), F.lit(after))
+    fenced = F.when(kind == 0, at("```json\n", "\n```")).when(kind == 1, at("```\n", "\n```  ")).when(kind == 2, at(" \n```json\n", "```\n")).when(kind == 3, at("```json\n", "")).otherwise(F.col("props"))
     return table(spark, folder, "events").select("event_id", S.strip_code_fences(fenced).alias("body"))
 
 
@@ -111,11 +114,13 @@ def embed_text(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "sm_event").select("event_id", S.embedding_text(F.col("title"), F.col("description")).alias("text"))
 
 
-@_query("SELECT ingest_pos, exchange_id, exchange_event_native_id AS native_id FROM adapter_contract WHERE exchange_id IS NOT NULL AND exchange_event_native_id IS NOT NULL")
+@_query("""SELECT ingest_pos, exchange_id, exchange_security_id AS native_id, length(exchange_security_id) - length(replace(exchange_security_id, ':', '')) AS n_colons FROM adapter_contract
+WHERE exchange_id IS NOT NULL AND exchange_security_id IS NOT NULL""")
 def key_pack_split(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "adapter_contract").filter("exchange_id is not null and exchange_event_native_id is not null")
+    """Keys of venue and native id apart again; native ids hold colons themselves."""
+    rows = table(spark, folder, "adapter_contract").filter("exchange_id is not null and exchange_security_id is not null")
     ex, native = S.split_native_key(F.col("key"))
-    return rows.select("ingest_pos", S.native_key(F.col("exchange_id"), F.col("exchange_event_native_id")).alias("key")).select("ingest_pos", ex.alias("exchange_id"), native.alias("native_id"))
+    return rows.select("ingest_pos", S.native_key(F.col("exchange_id"), F.col("exchange_security_id")).alias("key")).select("ingest_pos", ex.alias("exchange_id"), native.alias("native_id"), (F.size(F.split("key", ":")) - 2).cast("long").alias("n_colons"))
 
 
 @_query("SELECT event_id, coalesce(nullif(category, ''), 'OTHER') AS category, len(coalesce(tags, [])) AS n_tags FROM sm_event")
